@@ -1,0 +1,60 @@
+"""Bytes a query must read, taken from Parquet footers in parallel."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lodestrata.sources.readers import present_files
+
+CHUNKS = "path string, row_group int, column string, compressed bigint, row_count bigint"
+
+
+def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        rows = []
+        for path in batch["path"]:
+            # Hadoop writes local paths as file:/x, Arrow expects file:///x.
+            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "//" not in path else path
+            filesystem, inner = pafs.FileSystem.from_uri(uri)
+            meta = pq.read_metadata(filesystem.open_input_file(inner))
+            for g in range(meta.num_row_groups):
+                group = meta.row_group(g)
+                for c in range(group.num_columns):
+                    chunk = group.column(c)
+                    rows.append((path, g, chunk.path_in_schema, chunk.total_compressed_size, group.num_rows))
+        yield pd.DataFrame(rows, columns=["path", "row_group", "column", "compressed", "row_count"])
+
+
+def column_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Compressed bytes per file, row group and leaf column."""
+    files = present_files(spark, folder, "*.parquet").select("path")
+    return files.repartition("path").mapInPandas(_read_footers, CHUNKS)
+
+
+def scan_cost(spark: SparkSession, folder: str, partition: str, columns: Sequence[str],
+              baseline_bytes: int | None = None) -> DataFrame:
+    """Bytes read by a full scan, one partition, and one partition with projection.
+
+    ``partition`` is the directory text to look for (``cycle=2024``).  Columns are
+    top-level names.
+    """
+    chunks = column_chunks(spark, folder)
+    in_partition = F.col("path").contains(f"/{partition}/")
+    wanted = F.split("column", r"\.").getItem(0).isin(list(columns))
+    zero = F.lit(0).cast("bigint")
+    sums = chunks.agg(
+        F.sum("compressed").alias("full_scan"),
+        F.sum(F.when(in_partition, F.col("compressed")).otherwise(zero)).alias("one_partition"),
+        F.sum(F.when(in_partition & wanted, F.col("compressed")).otherwise(zero)).alias("partition_projected"))
+    base = F.lit(baseline_bytes) if baseline_bytes else F.col("full_scan")
+    return (sums.select(base.alias("_base"), F.posexplode(F.array(*[
+        F.struct(F.lit(n).alias("strategy"), F.col(n).alias("bytes"))
+        for n in ("full_scan", "one_partition", "partition_projected")])).alias("place", "entry"))
+        .select("place", "entry.strategy", "entry.bytes",
+                F.round(F.col("entry.bytes") * 100.0 / F.col("_base"), 1).alias("pct")))
