@@ -14,11 +14,9 @@ def half_up(value: Column | str, digits: int) -> Column:
 
     Going through eight decimals first absorbs the last-bit differences that a
     distributed sum has from run to run, so a published figure never flips
-    between two executions.  Values beyond the decimal range use plain rounding.
+    between two executions.  NaN has no decimal value and gives null.
     """
-    value = as_column(value)
-    exact = F.round(value.try_cast("decimal(28,8)"), digits).cast("double")
-    return F.coalesce(exact, F.round(value.cast("double"), digits))
+    return F.round(as_column(value).try_cast("decimal(38,8)"), digits).cast("double")
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -16,7 +16,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
     partitioning.  Spark limits each map task to one row per key before the
     shuffle, which keeps a hot key from reaching a single reducer whole.
     """
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys]
     window = Window.partitionBy(*keys).orderBy(*order, *rest)
     return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
 
@@ -41,9 +41,8 @@ def sample_per_group(df: DataFrame, group: Sequence[str], key: Sequence[str], si
     """
     salted = (df.withColumn("_draw", seeded_order(key, seed))
               .withColumn("_salt", F.conv(F.substring("_draw", 1, 2), 16, 10).cast("int")))
-    rest = [F.col(c).asc_nulls_first() for c in df.columns]
     for part in ([*group, "_salt"], list(group)):
-        window = Window.partitionBy(*part).orderBy("_draw", *rest)
+        window = Window.partitionBy(*part).orderBy("_draw", *df.columns)
         salted = salted.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") <= size)
     return salted.drop("_draw", "_salt", "_nth")
 

@@ -10,11 +10,10 @@ is numbered on its own and shifted by the total of the slices before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lodestrata.functions.numeric import as_column
 from lodestrata.storage import materialise
 
 # Rows one task may sort for a single group; larger groups are split into slices.
@@ -33,15 +32,16 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _largest_group(df: DataFrame, group: Sequence[str]) -> int:
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group, counted with partial aggregation."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
 def running_counts(df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str,
-                   out: str = "before", bound: int | None = None,
+                   out: str = "before", total: str = "total", bound: int | None = None,
                    window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Add ``out``: the sum of ``weight`` over the rows of the group that come earlier.
+    """Add ``out``, the sum of ``weight`` over earlier rows of the group, and the group's ``total``.
 
     Rows must be unique on ``group`` plus ``order``.  ``bound`` is a proven limit
     on rows per group (for example 10,001 rates of two decimals); with it no
@@ -51,18 +51,21 @@ def running_counts(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     earlier = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     if bound is None:
         df = materialise(df, "counts")
-    if (bound if bound is not None else _largest_group(df, group)) <= window_rows:
-        return df.withColumn(out, F.coalesce(F.sum(weight).over(earlier), F.lit(0)).cast("bigint"))
+    if (bound if bound is not None else largest_group(df, group)) <= window_rows:
+        return df.withColumns({
+            out: F.coalesce(F.sum(weight).over(earlier), F.lit(0)).cast("bigint"),
+            total: F.sum(weight).over(Window.partitionBy(*group)).cast("bigint")})
 
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialise(
-        df.repartitionByRange(slices, *[F.col(g) for g in group], *order)
-        .withColumn("_slice", F.spark_partition_id()), "ranged")
+        df.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id()), "ranged")
     # One row per group and slice: at most `slices` rows for any group.
     totals = ranged.groupBy(*group, "_slice").agg(F.sum(weight).alias("_slice_n"))
-    by_slice = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    before_slice = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(*group, "_slice",
-                           F.coalesce(F.sum("_slice_n").over(by_slice), F.lit(0)).alias("_shift"))
+                           F.coalesce(F.sum("_slice_n").over(before_slice), F.lit(0)).alias("_shift"),
+                           F.sum("_slice_n").over(whole).cast("bigint").alias(total))
     within = (Window.partitionBy(*group, "_slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     numbered = ranged.withColumn("_inner", F.coalesce(F.sum(weight).over(within), F.lit(0)))
@@ -74,14 +77,14 @@ def running_counts(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 def value_positions(df: DataFrame, group: Sequence[str], value: str, descending: bool = False,
                     keep_nulls: bool = False, bound: int | None = None,
                     window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """One row per group and distinct value: ``ties`` equal rows, ``before`` rows ahead of them.
+    """One row per group and distinct value: ``ties`` equal rows, ``before`` rows ahead, group ``total``.
 
     Null values are left out, or come last with ``keep_nulls``.
     """
     rows = df if keep_nulls else df.where(F.col(value).isNotNull())
     counts = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("ties"))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    return running_counts(counts, group, [order], "ties", "before", bound, window_rows)
+    return running_counts(counts, group, [order], "ties", bound=bound, window_rows=window_rows)
 
 
 def add_rank(df: DataFrame, group: Sequence[str], value: str, out: str, descending: bool = True,
@@ -92,27 +95,22 @@ def add_rank(df: DataFrame, group: Sequence[str], value: str, out: str, descendi
     return join_null_safe(df, ranks, [*group, value], "inner")
 
 
-def add_percentile_rank(df: DataFrame, value: str, out: str, descending: bool = False,
-                        group: Sequence[str] = (), bound: int | None = None,
-                        window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Mean rank of ties as a percentage of the non-null rows; null stays null."""
-    group = list(group)
-    places = value_positions(df, group, value, descending, False, bound, window_rows)
-    places = places.withColumn("_mid", F.col("before") + (F.col("ties") + 1) / F.lit(2.0))
-    if group:
-        sizes = df.groupBy(*group).agg(F.count(value).alias("_all"))
-        places = join_null_safe(places, sizes, group, "inner")
-        total = F.col("_all")
-    else:
-        total = df.agg(F.count(value)).scalar()
-    ranks = places.select(*group, value, (F.col("_mid") / total * 100.0).alias(out))
-    return join_null_safe(df, ranks, [*group, value], "left")
-
+def percentile_ranks(df: DataFrame, key: str, measures: Mapping[str, tuple[str, bool]],
+                     bound: int | None = None, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """Percentile rank of several measures in one pass: one row per ``key``.
 
-def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int]:
-    """Written table of rows per group (column ``_size``) and the largest of them."""
-    sizes = materialise(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")), "group-sizes")
-    return sizes, sizes.agg(F.max("_size")).first()[0] or 0
+    ``measures`` maps an output name to (column, descending).  A rank is the mean
+    rank of its ties as a percentage of the non-null rows; null stays null.  A
+    descending measure is ranked by its negative.
+    """
+    entries = ", ".join(
+        f"named_struct('_m', '{out}', '_v', cast({'-' if down else ''}`{column}` as double))"
+        for out, (column, down) in measures.items())
+    long = df.select(key, F.expr(f"inline(array({entries}))")).where("_v is not null")
+    places = value_positions(long, ["_m"], "_v", bound=bound, window_rows=window_rows)
+    ranks = places.selectExpr("_m", "_v", "(before + (ties + 1) / 2.0D) / total * 100.0D as _rank")
+    return long.join(ranks, ["_m", "_v"]).groupBy(key).agg(
+        *[F.expr(f"max(case when _m = '{out}' then _rank end)").alias(out) for out in measures])
 
 
 def add_position(df: DataFrame, group: Sequence[str], order: Sequence[Column], keys: Sequence[str],
@@ -123,13 +121,10 @@ def add_position(df: DataFrame, group: Sequence[str], order: Sequence[Column], k
     ``size_out`` also attaches the number of rows in the group.
     """
     total_order = [*order, *[F.col(k).asc_nulls_last() for k in keys]]
-    sizes, largest = group_sizes(df, group)
     numbered = running_counts(df.withColumn("_one", F.lit(1)), group, total_order, "_one",
-                              "_before", largest, window_rows)
-    placed = numbered.withColumn(out, F.col("_before") + 1).drop("_one", "_before")
-    if size_out:
-        placed = join_null_safe(placed, sizes.withColumnRenamed("_size", size_out), list(group), "inner")
-    return placed
+                              "_before", "_total", largest_group(df, group), window_rows)
+    placed = numbered.withColumn(out, F.col("_before") + 1)
+    return (placed.withColumnRenamed("_total", size_out) if size_out else placed).drop("_one", "_before", "_total")
 
 
 def add_tile(df: DataFrame, tiles: int, group: Sequence[str], order: Sequence[Column],
@@ -144,34 +139,42 @@ def add_tile(df: DataFrame, tiles: int, group: Sequence[str], order: Sequence[Co
     return placed.withColumn(out, tile.cast("int")).drop("_pos", "_size")
 
 
-def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float],
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: Mapping[str, float],
                     bound: int | None = None, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per named probability.
 
-    The built-in ``percentile`` keeps a whole group's value map in one buffer;
-    this reads the two neighbouring values off the running counts instead.
+    The built-in ``percentile`` keeps every distinct value of a group in one
+    buffer, so it is used only when that number is proven (``bound``) or counted
+    to be small; otherwise the two neighbouring values of each quantile are read
+    off the running counts.
     """
     group = list(group)
+    if (bound if bound is not None else largest_group(df, group)) <= window_rows:
+        points = ", ".join(f"{float(p)}D" for p in probabilities.values())
+        picked = df.groupBy(*group).agg(F.expr(f"percentile(`{value}`, array({points}))").alias("_q"))
+        return picked.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(probabilities)])
     places = value_positions(df, group, value, bound=bound, window_rows=window_rows)
-    if group:
-        sizes = (df.where(F.col(value).isNotNull()).groupBy(*group)
-                 .agg(F.count(F.lit(1)).alias("_all")))
-        places = join_null_safe(places, sizes, group, "inner")
-    else:
-        places = places.withColumn("_all", df.agg(F.count(value)).scalar())
-    holds = {}
+    holds = []
     for name, p in probabilities.items():
-        spot = (F.col("_all") - 1) * F.lit(float(p))
-        for side, index in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            inside = (F.col("before") <= index) & (index < F.col("before") + F.col("ties"))
-            holds[f"_{name}_{side}"] = F.max(F.when(inside, as_column(value).cast("double")))
-        holds[f"_{name}_part"] = F.max(spot - F.floor(spot))
-    found = places.groupBy(*group).agg(*[c.alias(n) for n, c in holds.items()])
-    return found.select(*group, *[
-        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")).alias(n)
-        for n in probabilities])
+        spot = f"(total - 1) * {float(p)}D"
+        for side, index in (("lo", f"floor({spot})"), ("hi", f"ceil({spot})")):
+            holds.append(F.expr(f"max(case when before <= {index} and {index} < before + ties "
+                                f"then cast(`{value}` as double) end)").alias(f"_{name}_{side}"))
+        holds.append(F.expr(f"max({spot} - floor({spot}))").alias(f"_{name}_part"))
+    found = places.groupBy(*group).agg(*holds)
+    return found.select(*group, *[F.expr(f"_{n}_lo + (_{n}_hi - _{n}_lo) * _{n}_part").alias(n)
+                                  for n in probabilities])
 
 
 def exact_median(df: DataFrame, value: str, bound: int | None = None) -> Column:
     """Exact median of the whole column as a scalar subquery."""
     return exact_quantiles(df, [], value, {"median": 0.5}, bound).scalar()
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], bound: int | None = None,
+                  window_rows: int = WINDOW_ROWS) -> dict[str, float | None]:
+    """Exact medians of several columns in one pass (one number per column)."""
+    entries = ", ".join(f"named_struct('_m', '{c}', '_v', cast(`{c}` as double))" for c in columns)
+    long = df.select(F.expr(f"inline(array({entries}))")).where("_v is not null")
+    found = exact_quantiles(long, ["_m"], "_v", {"median": 0.5}, bound, window_rows)
+    return {**dict.fromkeys(columns), **{r["_m"]: r["median"] for r in found.collect()}}

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.operators.joins import orphan_keys
 
@@ -26,19 +26,26 @@ class QualityGateError(Exception):
 
 @dataclass(frozen=True)
 class _Rule:
+    """One check; ``passed`` and ``detail`` are SQL over the named aggregates in ``measures``."""
+
     place: int
     check: str
     column: str
     severity: str
-    passed: Column
-    detail: Column
-    # Named aggregates the two expressions above refer to, and the frame they run over.
-    measures: dict[str, Column]
+    measures: dict[str, str]
+    passed: str
+    detail: str
+    # Frame the aggregates run over when it is not the table itself.
     frame: DataFrame | None = None
 
 
-def _count_where(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+def text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal(value) -> str:
+    return text(value) if isinstance(value, str) else str(value)
 
 
 class Suite:
@@ -48,26 +55,28 @@ class Suite:
         self.table, self.df, self.layer = table, df, layer
         self.rules: list[_Rule] = []
 
-    def _add(self, check: str, column: str, severity: str, measures: dict[str, Column],
-             passed: Column, detail: Column, frame: DataFrame | None = None) -> Suite:
-        self.rules.append(_Rule(len(self.rules), check, column, severity, passed, detail, measures, frame))
+    def _add(self, check: str, column: str, severity: str, measures: dict[str, str], passed: str, detail: str,
+             frame: DataFrame | None = None) -> Suite:
+        self.rules.append(_Rule(len(self.rules), check, column, severity, measures, passed, detail, frame))
         return self
 
-    def _count_rule(self, check: str, column: str, severity: str, count: Column, text: str,
-                    frame: DataFrame | None = None) -> Suite:
-        """A rule that holds when the count is zero; ``text`` follows the count."""
-        name = f"m{len(self.rules)}"
-        return self._add(check, column, severity, {name: count}, F.col(name) == 0,
-                         F.concat(F.col(name).cast("string"), F.lit(text)), frame)
+    def _name(self, suffix: str = "") -> str:
+        return f"m{len(self.rules)}{suffix}"
+
+    def _zero(self, check: str, column: str, severity: str, count: str, noun: str,
+              frame: DataFrame | None = None) -> Suite:
+        """A rule that holds when ``count`` is zero."""
+        n = self._name()
+        return self._add(check, column, severity, {n: count}, f"{n} = 0", f"concat({n}, {text(' ' + noun)})", frame)
 
     def min_rows(self, minimum: int, severity: str = ERROR) -> Suite:
-        name = f"m{len(self.rules)}"
-        return self._add("row_count", "-", severity, {name: F.count(F.lit(1))}, F.col(name) >= minimum,
-                         F.concat(F.col(name).cast("string"), F.lit(f" rows (minimum {minimum})")))
+        n = self._name()
+        return self._add("row_count", "-", severity, {n: "count(1)"}, f"{n} >= {minimum}",
+                         f"concat({n}, ' rows (minimum {minimum})')")
 
     def no_nulls(self, *columns: str, severity: str = ERROR) -> Suite:
         for c in columns:
-            self._count_rule("no_nulls", c, severity, _count_where(F.col(c).isNull()), " nulls")
+            self._zero("no_nulls", c, severity, f"count_if(`{c}` is null)", "nulls")
         return self
 
     def unique(self, column: str, severity: str = ERROR) -> Suite:
@@ -77,55 +86,48 @@ class Suite:
         return self._distinct("unique_grain", list(columns), severity)
 
     def _distinct(self, check: str, columns: list[str], severity: str) -> Suite:
-        per_key = self.df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-        extra = F.coalesce(F.sum("_rows"), F.lit(0)) - F.count(F.lit(1))
-        return self._count_rule(check, ", ".join(columns), severity, extra, " duplicates", per_key)
+        per_key = self.df.groupBy(*columns).agg(F.expr("count(1) as _rows"))
+        return self._zero(check, ", ".join(columns), severity, "coalesce(sum(_rows), 0) - count(1)", "duplicates",
+                          per_key)
 
     def in_range(self, column: str, low: float, high: float, severity: str = ERROR) -> Suite:
-        outside = _count_where(~F.col(column).between(low, high))
-        return self._count_rule("range", column, severity, outside, f" outside [{low}, {high}]")
+        return self._zero("range", column, severity, f"count_if(not `{column}` between {low} and {high})",
+                          f"outside [{low}, {high}]")
 
     def in_domain(self, column: str, values: Sequence, severity: str = ERROR) -> Suite:
-        outside = _count_where(~F.col(column).isin(list(values)))
+        inside = ", ".join(literal(v) for v in values)
         listed = ", ".join(str(v) for v in sorted(values))
-        return self._count_rule("domain", column, severity, outside, f" outside [{listed}]")
+        return self._zero("domain", column, severity, f"count_if(not `{column}` in ({inside}))",
+                          f"outside [{listed}]")
 
     def exists_in(self, column: str, reference: DataFrame, ref_column: str | None = None,
                   severity: str = ERROR) -> Suite:
-        orphans = orphan_keys(self.df, column, reference, ref_column or column)
-        count = F.coalesce(F.sum("rows"), F.lit(0))
-        return self._count_rule("reference", column, severity, count, " rows without a match", orphans)
+        return self._zero("reference", column, severity, "coalesce(sum(rows), 0)", "rows without a match",
+                          orphan_keys(self.df, column, reference, ref_column or column))
 
-    def agrees_with(self, other: DataFrame, keys: Sequence[str], column: str,
-                    other_column: str | None = None, tolerance: float = 0.01,
-                    max_share: float = 0.01, severity: str = ERROR) -> Suite:
+    def agrees_with(self, other: DataFrame, keys: Sequence[str], column: str, other_column: str | None = None,
+                    tolerance: float = 0.01, max_share: float = 0.01, severity: str = ERROR) -> Suite:
         """Same measure in two tables; only pairs with both values are compared."""
         ours = self.df.select(*keys, F.col(column).alias("_a"))
         theirs = other.select(*keys, F.col(other_column or column).alias("_b"))
-        pairs = ours.join(theirs, list(keys)).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-        far, seen = f"m{len(self.rules)}_far", f"m{len(self.rules)}_seen"
-        part = F.try_divide(F.col(far).cast("double"), F.col(seen).cast("double"))
-        detail = F.when(F.col(seen) == 0, F.lit("no common rows to compare")).otherwise(
-            F.concat(F.col(far).cast("string"), F.lit(" of "), F.col(seen).cast("string"), F.lit(" differ")))
-        return self._add("agreement", column, severity,
-                         {far: _count_where(F.abs(F.col("_a") - F.col("_b")) > tolerance),
-                          seen: F.count(F.lit(1))},
-                         F.coalesce(part <= F.lit(max_share), F.lit(False)), detail, pairs)
+        pairs = ours.join(theirs, list(keys)).where("_a is not null and _b is not null")
+        far, seen = self._name("_far"), self._name("_seen")
+        return self._add(
+            "agreement", column, severity,
+            {far: f"count_if(abs(_a - _b) > {tolerance})", seen: "count(1)"},
+            f"{seen} > 0 and {far} <= {seen} * {max_share}",
+            f"if({seen} = 0, 'no common rows to compare', concat({far}, ' of ', {seen}, ' differ'))", pairs)
 
     def has_cycle(self, column: str, cycle: int, severity: str = WARNING) -> Suite:
-        name = f"m{len(self.rules)}"
-        held = F.col(name) > 0
-        return self._add("freshness", column, severity, {name: _count_where(F.col(column) == cycle)}, held,
-                         F.when(held, F.lit(f"cycle {cycle} present")).otherwise(F.lit(f"cycle {cycle} absent")))
+        n = self._name()
+        return self._add("freshness", column, severity, {n: f"count_if(`{column}` = {cycle})"}, f"{n} > 0",
+                         f"concat('cycle {cycle} ', if({n} > 0, 'present', 'absent'))")
 
-    def _entry(self, rule: _Rule) -> Column:
+    def _entry(self, rule: _Rule) -> str:
         missed = "FAIL" if rule.severity == ERROR else "WARN"
-        return F.struct(
-            F.lit(rule.place).alias("check_no"), F.lit(self.table).alias("table"),
-            F.lit(self.layer).alias("layer"), F.lit(rule.check).alias("check"),
-            F.lit(rule.column).alias("column"),
-            F.when(rule.passed, F.lit("PASS")).otherwise(F.lit(missed)).alias("status"),
-            F.lit(rule.severity).alias("severity"), rule.detail.alias("detail"))
+        values = (str(rule.place), text(self.table), text(self.layer), text(rule.check), text(rule.column),
+                  f"if({rule.passed}, 'PASS', '{missed}')", text(rule.severity), rule.detail)
+        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(REPORT_COLUMNS, values, strict=True)) + ")"
 
     def report(self) -> DataFrame:
         """One row per rule, in the order the rules were given (``check_no``)."""
@@ -133,10 +135,10 @@ class Suite:
         groups = ([(self.df, fused)] if fused else []) + [(r.frame, [r]) for r in self.rules if r.frame is not None]
         parts = []
         for frame, rules in groups:
-            measures = [c.alias(n) for r in rules for n, c in r.measures.items()]
-            entries = F.array(*[self._entry(r) for r in rules])
-            parts.append(frame.agg(*measures).select(F.inline(entries)))
-        return reduce(DataFrame.unionByName, parts).select(*REPORT_COLUMNS)
+            measures = [F.expr(f"{sql} as {n}") for r in rules for n, sql in r.measures.items()]
+            entries = ", ".join(self._entry(r) for r in rules)
+            parts.append(frame.agg(*measures).selectExpr(f"inline(array({entries}))"))
+        return reduce(DataFrame.unionByName, parts)
 
 
 def consolidated(suites: Sequence[Suite]) -> DataFrame:
@@ -146,7 +148,7 @@ def consolidated(suites: Sequence[Suite]) -> DataFrame:
 
 def tally(report: DataFrame) -> DataFrame:
     """Number of rules per status; every status has a row."""
-    counts = [F.count_if(F.col("status") == s).alias(s) for s in ("PASS", "WARN", "FAIL")]
+    counts = [F.expr(f"count_if(status = '{s}') as {s}") for s in ("PASS", "WARN", "FAIL")]
     return report.agg(*counts).unpivot([], ["PASS", "WARN", "FAIL"], "status", "checks")
 
 

@@ -44,9 +44,10 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     else:
         result = newest
     staged_path = scratch_path(spark, "upsert-staged")
-    result.repartition(BUCKET).write.partitionBy(BUCKET).parquet(staged_path)
-    (spark.read.parquet(staged_path).repartition(BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    # Rebalancing keeps a bucket together but splits it when it outgrows one task.
+    result.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(staged_path)
+    staged = spark.read.schema(result.schema).parquet(staged_path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:

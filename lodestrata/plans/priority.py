@@ -9,14 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from lodestrata.functions.labels import interval_label
 from lodestrata.functions.numeric import half_up
 from lodestrata.operators.extremes import top
-from lodestrata.operators.positions import add_percentile_rank, exact_median
+from lodestrata.operators.positions import exact_medians, percentile_ranks
 from lodestrata.operators.reshape import in_fixed_order
 from lodestrata.plans.rules import Rules
 from lodestrata.plans.series import DISTINCT_CHANGES
 
 ANALYSIS_MEASURES = ("rate", "mean_score", "gap_final", "participation", "diff_parent", "change_adjusted")
-# All but the score are two-decimal figures within +-100 (or 0..100).
-BOUNDED = frozenset(ANALYSIS_MEASURES) - {"mean_score", "participation"}
 
 
 def analysis_base(latest: DataFrame, changes: DataFrame) -> DataFrame:
@@ -29,19 +27,18 @@ def analysis_base(latest: DataFrame, changes: DataFrame) -> DataFrame:
 
 def fill_medians(df: DataFrame, measures: Sequence[str] = ANALYSIS_MEASURES) -> DataFrame:
     """Nulls of each measure replaced by its exact median."""
-    return df.withColumns({m: F.coalesce(F.col(m), exact_median(df, m, DISTINCT_CHANGES if m in BOUNDED else None))
-                           for m in measures})
+    return df.na.fill({m: v for m, v in exact_medians(df, measures).items() if v is not None})
 
 
 def priority_index(base: DataFrame, rules: Rules) -> DataFrame:
     """Weighted sum of three percentile ranks (100 = most urgent) and its band."""
-    ranked = add_percentile_rank(base, "gap_final", "p_gap", bound=DISTINCT_CHANGES)
-    ranked = add_percentile_rank(ranked, "change_adjusted", "p_trajectory", descending=True, bound=DISTINCT_CHANGES)
-    ranked = add_percentile_rank(ranked, "diff_parent", "p_relative", descending=True, bound=DISTINCT_CHANGES)
+    ranks = percentile_ranks(base, "unit_id", {
+        "p_gap": ("gap_final", False), "p_trajectory": ("change_adjusted", True), "p_relative": ("diff_parent", True)},
+        bound=DISTINCT_CHANGES)
     weights = rules.priority_weights
-    index = (F.col("p_gap") * weights["gap"] + F.col("p_trajectory") * weights["trajectory"]
-             + F.col("p_relative") * weights["relative"])
-    return ranked.withColumn("priority", half_up(index, 1)).withColumn(
+    index = F.expr(f"p_gap * {weights['gap']}D + p_trajectory * {weights['trajectory']}D "
+                   f"+ p_relative * {weights['relative']}D")
+    return base.join(ranks, "unit_id", "left").withColumn("priority", half_up(index, 1)).withColumn(
         "priority_band", interval_label("priority", rules.priority_edges, rules.priority_labels))
 
 

@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "lodest
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Call-site capture for every Column operation dominates the building of wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

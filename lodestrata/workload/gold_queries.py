@@ -48,7 +48,7 @@ def mart_change(lake: Lake) -> DataFrame:
       ON t.parent_id = u.parent_id AND t.segment = u.segment AND t.target_year = u.cycle""",
                                                     "parent_indicator", "parent_targets"))
 def mart_parent_ranking(lake: Lake) -> DataFrame:
-    return marts.parent_ranking(lake.parent_indicator(), lake.parent_targets())
+    return marts.parent_ranking(lake.parent_indicator, lake.parent_targets)
 
 
 @query("mart_level_distribution", "G5, J7", with_fragments(f"""
@@ -56,7 +56,7 @@ def mart_parent_ranking(lake: Lake) -> DataFrame:
            {rnd("AVG(proportion)", 2)} AS mean_proportion, COUNT(DISTINCT unit_id) AS units
     FROM levels JOIN units USING (unit_id) GROUP BY ALL""", "levels", "units"))
 def mart_level_distribution(lake: Lake) -> DataFrame:
-    return marts.level_profile(lake.levels(), lake.units())
+    return marts.level_profile(lake.levels(), lake.units)
 
 
 @query("mart_record_profile", "G6, A1, A4, A6, A7, A10, A11", with_fragments(f"""

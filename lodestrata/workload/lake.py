@@ -60,9 +60,12 @@ class Lake:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
@@ -169,39 +172,45 @@ class Lake:
 
     # Silver tables.
 
+    @cached_property
     def parents(self) -> DataFrame:
-        return silver.conform_parents(self.raw_parents())
+        return materialise(silver.conform_parents(self.raw_parents()), "parents")
 
+    @cached_property
     def units(self) -> DataFrame:
-        return silver.conform_units(self.raw_units(), self.parents())
+        return materialise(silver.conform_units(self.raw_units(), self.parents), "units")
 
     @cached_property
     def records(self) -> DataFrame:
         return materialise(silver.conform_records(self.raw_records(), RULES, RECORD_KEYS), "records")
 
+    @cached_property
     def indicator(self) -> DataFrame:
-        return silver.conform_indicator(self.raw_indicator(), RULES, ["cycle", "unit_id", "segment"])
+        return materialise(silver.conform_indicator(self.raw_indicator(), RULES, ["cycle", "unit_id", "segment"]), "indicator")
 
+    @cached_property
     def parent_indicator(self) -> DataFrame:
         conformed = silver.conform_indicator(self.raw_parent_indicator(), RULES, ["cycle", "parent_id", "segment"],
                                              area="parent_id")
-        return conformed.join(self.parents().select("parent_id", "parent_name", "region_name"), "parent_id", "left")
+        return materialise(conformed.join(self.parents.select("parent_id", "parent_name", "region_name"), "parent_id", "left"), "parent-indicator")
 
     def levels(self) -> DataFrame:
-        return silver.level_distribution(self.indicator(), ["cycle", "unit_id", "segment", "segment_name"])
+        return silver.level_distribution(self.indicator, ["cycle", "unit_id", "segment", "segment_name"])
 
+    @cached_property
     def unit_targets(self) -> DataFrame:
-        return silver.target_path(self.raw_unit_targets(), RULES, ["unit_id"])
+        return materialise(silver.target_path(self.raw_unit_targets(), RULES, ["unit_id"]), "unit-targets")
 
+    @cached_property
     def parent_targets(self) -> DataFrame:
-        return silver.target_path(self.raw_parent_targets(), RULES, ["parent_id"])
+        return materialise(silver.target_path(self.raw_parent_targets(), RULES, ["parent_id"]), "parent-targets")
 
     def attendance(self) -> DataFrame:
         return silver.participation(self.raw_unit_targets(), RULES)
 
     def integrated(self) -> DataFrame:
-        return silver.integrated_fact(self.indicator(), self.units(), self.unit_targets(), self.attendance(),
-                                      self.parent_indicator(), self.national(), RULES)
+        return silver.integrated_fact(self.indicator, self.units, self.unit_targets, self.attendance(),
+                                      self.parent_indicator, self.national(), RULES)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -255,7 +264,7 @@ class Lake:
         files = self.spark.read.format("binaryFile").load(self.event_folder).select("path").count()
         stream = ingest.event_stream(self.spark, self.event_folder, files_per_trigger=ceil(files / DELIVERIES))
         folder = self.scratch("landing")
-        ingest.drain(stream, ingest.land_batch(self.units(), EVENT_RULES, folder, processed_at()),
+        ingest.drain(stream, ingest.land_batch(self.units, EVENT_RULES, folder, processed_at()),
                      self.scratch("stream-checkpoint"))
         return folder
 

@@ -82,7 +82,7 @@ def conform_dimension(lake: Lake) -> DataFrame:
     coded = lake.raw_units().select(
         (F.col("parent_id") * F.lit(10_000_000).cast("bigint") + F.col("unit_id")).cast("string").alias("unit_id"),
         "unit_name")
-    return silver.conform_units(coded, lake.parents(), divisor=10_000_000).select(
+    return silver.conform_units(coded, lake.parents, divisor=10_000_000).select(
         "unit_id", "unit_name", "parent_id", "parent_code", "parent_name", "region_code", "region_name")
 
 
@@ -96,7 +96,7 @@ def conform_records(lake: Lake) -> DataFrame:
     SELECT cycle, parent_id, segment, segment_name, rate, mean_score, parent_name, region_name
     FROM parent_indicator""", "parent_indicator"))
 def parent_indicator(lake: Lake) -> DataFrame:
-    return lake.parent_indicator().select("cycle", "parent_id", "segment", "segment_name", "rate", "mean_score",
+    return lake.parent_indicator.select("cycle", "parent_id", "segment", "segment_name", "rate", "mean_score",
                                           "parent_name", "region_name")
 
 
@@ -110,7 +110,7 @@ def long_targets(lake: Lake) -> DataFrame:
 @query("latest_revision", "W1", with_fragments(
     "SELECT unit_id, segment, target_year, target, segment_name FROM unit_targets", "unit_targets"))
 def latest_targets(lake: Lake) -> DataFrame:
-    return lake.unit_targets().select("unit_id", "segment", "target_year", "target", "segment_name")
+    return lake.unit_targets.select("unit_id", "segment", "target_year", "target", "segment_name")
 
 
 @query("integrated_fact", "J3, J4, F18, F8", with_fragments(f"SELECT {listed(FACT_COLUMNS)} FROM fact", "fact"))
@@ -128,7 +128,7 @@ _COMPARED = f"""(SELECT r.cycle, r.unit_id, r.segment, r.records, r.rate_rebuilt
 
 
 def _comparison(lake: Lake) -> DataFrame:
-    return reconcile.rebuild_comparison(reconcile.rebuilt_indicator(lake.records), lake.indicator())
+    return reconcile.rebuild_comparison(reconcile.rebuilt_indicator(lake.records), lake.indicator)
 
 
 @query("rebuild_indicator", "Q14, A2, A3, J5", with_fragments(f"""
