@@ -27,7 +27,7 @@ class Step:
         self.name, self.layer = name, layer
         self.counts: dict[str, int | None] = {"rows_in": None, "rows_out": None, "rows_rejected": None}
         self.note: str | None = None
-        self._observed: list[tuple[Observation, dict[str, str]]] = []
+        self._observed: list[tuple[Observation, list[str]]] = []
 
     def record(self, **counts: int) -> Step:
         self.counts.update({k: int(v) for k, v in counts.items()})
@@ -41,14 +41,17 @@ class Step:
         """
         observation = Observation(f"{self.name}-{uuid.uuid4().hex[:8]}")
         columns = [(F.count(F.lit(1)) if m is True else F.count_if(m)).alias(n) for n, m in measures.items()]
-        self._observed.append((observation, dict.fromkeys(measures)))
+        self._observed.append((observation, list(measures)))
         return df.observe(observation, *columns)
 
-    def _settle(self) -> None:
-        for observation, names in self._observed:
+    def settle(self) -> dict[str, int | None]:
+        """Take over the counts of the observed writes made so far."""
+        while self._observed:
+            observation, names = self._observed.pop()
             got = observation.get
             for n in names:
                 self.counts[n] = (self.counts[n] or 0) + got[n]
+        return self.counts
 
 
 class Monitor:
@@ -67,7 +70,7 @@ class Monitor:
         status = OK
         try:
             yield step
-            step._settle()
+            step.settle()
         except Exception as error:
             status = FAILED
             step.note = f"{type(error).__name__}: {error}"[:MESSAGE_LENGTH]

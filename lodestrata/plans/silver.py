@@ -46,7 +46,7 @@ def conform_records(raw: DataFrame, rules: Rules, keys: Sequence[str], keep: Seq
     Rows without a score stay: they count as registered, not as assessed.
     """
     columns = [*dict.fromkeys([*keys, "cycle", "unit_id", "segment", "score", "passed", "weight", *keep])]
-    typed = conform_types(raw.withColumnRenamed("proficiency", "score").select(*columns), {
+    typed = conform_types(raw.select(*columns), {
         "cycle": "int", "unit_id": "int", "segment": "int", "score": "double", "weight": "double"})
     valid = typed.where(
         F.col(keys[0]).isNotNull()
@@ -102,11 +102,13 @@ def participation(wide: DataFrame, rules: Rules, keys: Sequence[str] = ("unit_id
 
 
 def integrated_fact(indicator: DataFrame, units: DataFrame, targets: DataFrame, attendance: DataFrame,
-                    parent_indicator: DataFrame, national: DataFrame, rules: Rules) -> DataFrame:
+                    parent_indicator: DataFrame, national: DataFrame, rules: Rules,
+                    carry: Sequence[str] = (), unit_carry: Sequence[str] = ()) -> DataFrame:
     """One row per (cycle, unit, segment) with territory, targets, context and gaps.
 
     ``gap_cycle`` is rate minus target, ``gap_final`` is target minus rate.  A unit
     without a final target gets the default one, flagged by ``target_is_default``.
+    ``carry`` and ``unit_carry`` pass further indicator and unit columns through.
     """
     yearly = targets.select("unit_id", "segment", F.col("target_year").alias("cycle"),
                             F.col("target").alias("target_cycle"))
@@ -114,8 +116,9 @@ def integrated_fact(indicator: DataFrame, units: DataFrame, targets: DataFrame,
              .select("unit_id", "segment", F.col("target").alias("target_final")))
     parent_rates = parent_indicator.select("cycle", "parent_id", "segment", F.col("rate").alias("parent_rate"))
     joined = (
-        indicator.select("cycle", "unit_id", "segment", "segment_name", "rate", "mean_score")
-        .join(units.select("unit_id", "unit_name", "parent_id", "parent_name", "region_name"), "unit_id", "left")
+        indicator.select("cycle", "unit_id", "segment", "segment_name", "rate", "mean_score", *carry)
+        .join(units.select("unit_id", "unit_name", "parent_id", "parent_name", "region_name", *unit_carry),
+              "unit_id", "left")
         .join(yearly, ["unit_id", "segment", "cycle"], "left")
         .join(final, ["unit_id", "segment"], "left")
         .join(attendance, ["cycle", "unit_id", "segment"], "left")

@@ -92,7 +92,7 @@ def read_first_available(spark: SparkSession, candidates: Sequence[Source], min_
 
 
 def present_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Files below a folder with their sizes; content is never read."""
+    """Non-empty files below a folder with their sizes; content is never read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", True).load(folder).select("path", "length"))
 

@@ -186,13 +186,15 @@ class Lake:
 
     @cached_property
     def indicator(self) -> DataFrame:
-        return materialise(silver.conform_indicator(self.raw_indicator(), RULES, ["cycle", "unit_id", "segment"]), "indicator")
+        conformed = silver.conform_indicator(self.raw_indicator(), RULES, ["cycle", "unit_id", "segment"])
+        return materialise(conformed, "indicator")
 
     @cached_property
     def parent_indicator(self) -> DataFrame:
         conformed = silver.conform_indicator(self.raw_parent_indicator(), RULES, ["cycle", "parent_id", "segment"],
                                              area="parent_id")
-        return materialise(conformed.join(self.parents.select("parent_id", "parent_name", "region_name"), "parent_id", "left"), "parent-indicator")
+        named = self.parents.select("parent_id", "parent_name", "region_name")
+        return materialise(conformed.join(named, "parent_id", "left"), "parent-indicator")
 
     def levels(self) -> DataFrame:
         return silver.level_distribution(self.indicator, ["cycle", "unit_id", "segment", "segment_name"])
