@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from lodestrata.functions.numeric import as_column
@@ -15,3 +19,11 @@ def lenient_timestamp(text: Column | str) -> Column:
 def latency_ms(processed: Column | str, occurred: Column | str) -> Column:
     """Milliseconds from occurrence to processing."""
     return (F.unix_millis(as_column(processed)) - F.unix_millis(as_column(occurred))).cast("double")
+
+
+def in_years(moment: Column | str, years: Sequence[int]) -> Column:
+    """Membership in calendar years as plain ranges, which file scans can skip by (``year()`` they cannot)."""
+    moment = as_column(moment)
+    ranges = [(moment >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (moment < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+              for y in years]
+    return reduce(or_, ranges)

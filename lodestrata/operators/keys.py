@@ -32,19 +32,27 @@ def seeded_order(key: Sequence[str], seed: int | str) -> Column:
                           F.lit(str(seed))))
 
 
+# Spark limits every map task to the first rows of each group before the shuffle up to this many
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
+
 def sample_per_group(df: DataFrame, group: Sequence[str], key: Sequence[str], size: int,
                      seed: int | str = 42) -> DataFrame:
     """Up to ``size`` rows of each group, in seeded random order.
 
-    Rows are limited within salted sub-groups first (and by Spark within each map
-    task), so the final window sees a bounded number of rows per group.
+    Small samples are cut within each map task by Spark itself; larger ones are cut
+    within salted sub-groups first, so no task ever sorts a whole hot group.
     """
-    salted = (df.withColumn("_draw", seeded_order(key, seed))
-              .withColumn("_salt", F.conv(F.substring("_draw", 1, 2), 16, 10).cast("int")))
-    for part in ([*group, "_salt"], list(group)):
+    drawn = df.withColumn("_draw", seeded_order(key, seed))
+    parts = [list(group)]
+    if size > GROUP_LIMIT:
+        drawn = drawn.withColumn("_salt", F.substring("_draw", 1, 2))
+        parts.insert(0, [*group, "_salt"])
+    for part in parts:
         window = Window.partitionBy(*part).orderBy("_draw", *df.columns)
-        salted = salted.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") <= size)
-    return salted.drop("_draw", "_salt", "_nth")
+        drawn = drawn.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") <= size)
+    return drawn.select(*df.columns)
 
 
 def stratified_split(df: DataFrame, stratum: str, key: Sequence[str], test_share: float = 0.2,

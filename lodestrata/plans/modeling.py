@@ -172,7 +172,7 @@ def _best_of_seeds(vectors: DataFrame, k: int, seeds: Sequence[int], parallel: i
 
 
 def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seeds: Sequence[int] = tuple(range(42, 52)),
-                 parallel: int = 4) -> tuple[DataFrame, dict]:
+                 parallel: int = 8) -> tuple[DataFrame, dict]:
     """Silhouette and inertia per k, each the best of several seeds; returns the models too."""
     cached = vectors.cache()
     evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
@@ -187,10 +187,9 @@ def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seeds:
 
 def choose_k(scan: DataFrame, low: int = 3, high: int = 6) -> DataFrame:
     """Best silhouette within [low, high], beside the best one without that bound."""
-    best = scan.orderBy(F.col("silhouette").desc(), "k").limit(1).select(
-        F.col("k").alias("k_unbounded"), F.lit(1).alias("_j"))
-    return (scan.where(F.col("k").between(low, high)).orderBy(F.col("silhouette").desc(), "k").limit(1)
-            .withColumn("_j", F.lit(1)).join(best, "_j").drop("_j"))
+    best_first = [F.col("silhouette").desc(), F.col("k").asc()]
+    unbounded = scan.orderBy(*best_first).limit(1).select("k").scalar()
+    return scan.where(F.col("k").between(low, high)).orderBy(*best_first).limit(1).withColumn("k_unbounded", unbounded)
 
 
 def cluster_profiles(clustered: DataFrame, measures: Sequence[str], rules: Rules, name_by: str = "rate") -> DataFrame:

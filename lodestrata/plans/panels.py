@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestrata.functions.numeric import equal_width_bin, half_up, safe_ratio, share
 from lodestrata.operators.extremes import both_tails, top
-from lodestrata.operators.positions import exact_quantiles, join_null_safe
+from lodestrata.operators.positions import WINDOW_ROWS, exact_quantiles, join_null_safe
 from lodestrata.plans.marts import DISTINCT_RATES
 from lodestrata.plans.rules import Rules
 
@@ -21,19 +21,24 @@ def latest_slice(mart: DataFrame, rules: Rules) -> DataFrame:
 
 def describe_measure(df: DataFrame, measure: str, target: float, critical: Column,
                      bound: int | None = DISTINCT_RATES) -> DataFrame:
-    """One row: size, mean, spread, quartiles, P90/P10 and the shares at target and critical."""
-    stats = df.agg(
+    """One row: size, mean, spread, quartiles, P90/P10 and the shares at target and critical.
+
+    With few distinct values (``bound``) the quantiles are part of the same
+    aggregate; otherwise they are computed apart, as five numbers.
+    """
+    points = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
+    stats = [
         F.count(F.lit(1)).alias("units"), half_up(F.avg(measure), 2).alias("mean"),
         half_up(F.stddev_samp(measure), 2).alias("std"), F.min(measure).alias("min"), F.max(measure).alias("max"),
         half_up(F.max(measure) - F.min(measure), 2).alias("spread"),
         half_up(share(F.col(measure) >= target), 1).alias("pct_at_target"),
-        half_up(share(critical), 1).alias("pct_critical")).withColumn("_k", F.lit(1))
-    points = exact_quantiles(df, [], measure, {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9},
-                             bound).select(
-        *[half_up(c, 2).alias(c) for c in ("p25", "median", "p75")],
-        half_up(safe_ratio("p90", "p10"), 2).alias("p90_over_p10")).withColumn("_k", F.lit(1))
-    # Both sides are one row by construction.
-    return stats.join(points, "_k").drop("_k")
+        half_up(share(critical), 1).alias("pct_critical")]
+    if bound is not None and bound <= WINDOW_ROWS:
+        quantiles = {n: F.percentile(measure, p) for n, p in points.items()}
+    else:
+        quantiles = {n: F.lit(v) for n, v in exact_quantiles(df, [], measure, points).first().asDict().items()}
+    return df.agg(*stats, *[half_up(quantiles[c], 2).alias(c) for c in ("p25", "median", "p75")],
+                  half_up(safe_ratio(quantiles["p90"], quantiles["p10"]), 2).alias("p90_over_p10"))
 
 
 def region_panel(df: DataFrame, group: str, rules: Rules, measure: str = "rate") -> DataFrame:

@@ -110,21 +110,22 @@ def integrated_fact(indicator: DataFrame, units: DataFrame, targets: DataFrame,
     without a final target gets the default one, flagged by ``target_is_default``.
     ``carry`` and ``unit_carry`` pass further indicator and unit columns through.
     """
-    yearly = targets.select("unit_id", "segment", F.col("target_year").alias("cycle"),
-                            F.col("target").alias("target_cycle"))
-    final = (targets.where(F.col("target_year") == rules.final_year)
-             .select("unit_id", "segment", F.col("target").alias("target_final")))
+    # One row per unit and segment with its whole path: as many entries as there are target years.
+    paths = targets.groupBy("unit_id", "segment").agg(
+        F.map_from_entries(F.collect_list(F.struct("target_year", "target"))).alias("_path"))
     parent_rates = parent_indicator.select("cycle", "parent_id", "segment", F.col("rate").alias("parent_rate"))
     joined = (
         indicator.select("cycle", "unit_id", "segment", "segment_name", "rate", "mean_score", *carry)
         .join(units.select("unit_id", "unit_name", "parent_id", "parent_name", "region_name", *unit_carry),
               "unit_id", "left")
-        .join(yearly, ["unit_id", "segment", "cycle"], "left")
-        .join(final, ["unit_id", "segment"], "left")
+        .join(paths, ["unit_id", "segment"], "left")
         .join(attendance, ["cycle", "unit_id", "segment"], "left")
         .join(parent_rates, ["cycle", "parent_id", "segment"], "left")
         .join(national.select("cycle", "national_rate"), "cycle", "left"))
-    return joined.withColumns({
+    placed = joined.withColumns({
+        "target_cycle": F.col("_path")[F.col("cycle")],
+        "target_final": F.col("_path")[F.lit(rules.final_year)]}).drop("_path")
+    return placed.withColumns({
         "target_is_default": F.col("target_final").isNull(),
         "target_final": F.coalesce("target_final", F.lit(rules.default_final_target)),
         "gap_cycle": half_up(F.col("rate") - F.col("target_cycle"), 2),

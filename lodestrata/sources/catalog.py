@@ -48,6 +48,11 @@ def row_inventory(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def inventory_total(inventory: DataFrame) -> DataFrame:
+    """Number of tables and rows overall."""
+    return inventory.agg(F.count(F.lit(1)).alias("tables"), F.sum("rows").alias("rows"))
+
+
 def schema_inventory(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     return row_inventory({(s, t): spark.table(f"{s}.{t}") for s in schemas for t in stored_tables(spark, s)})
 

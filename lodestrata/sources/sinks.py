@@ -13,8 +13,15 @@ def overwrite_table(df: DataFrame, table: str) -> None:
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace a Parquet folder, optionally with one directory per partition value.
+
+    Rebalancing gives every directory few files and splits a directory that is too
+    large for one task.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def append_path(df: DataFrame, path: str) -> None:

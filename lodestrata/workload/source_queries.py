@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.functions.casts import decimals_to_double
 from lodestrata.functions.numeric import half_up
+from lodestrata.functions.times import in_years
 from lodestrata.operators.monitor import Monitor
 from lodestrata.plans.marts import MartSpec, build_marts
 from lodestrata.sources import catalog, extract, footers, lineage, readers, sinks
@@ -153,7 +154,8 @@ def extract_normalise(lake: Lake) -> DataFrame:
     flag = F.lit("?")
     for remainder, word in words.items():
         flag = F.when(number % 5 == remainder, F.lit(word)).otherwise(flag)
-    orders = lake.source("orders").withColumn("ordered_in", F.year("o_orderdate"))
+    orders = lake.source("orders").where(in_years("o_orderdate", [1996, 1997])).withColumn(
+        "ordered_in", F.year("o_orderdate"))
     picked = extract.pruned_extract(
         orders, ["o_orderkey", "ordered_in", "o_custkey", "o_orderstatus", "o_totalprice"], "ordered_in", [1996, 1997])
     as_text = picked.select(
@@ -177,7 +179,8 @@ def extract_normalise(lake: Lake) -> DataFrame:
             ORDER BY md5(l_orderkey || '|' || l_linenumber || '|' || '42'), l_orderkey, l_linenumber, l_partkey) AS nth
         FROM lineitem WHERE year(l_shipdate) IN (1996, 1998, 2000)) WHERE nth <= 5""")
 def sampled(lake: Lake) -> DataFrame:
-    lines = lake.source("lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    lines = lake.source("lineitem").where(in_years("l_shipdate", [1996, 1998, 2000])).withColumn(
+        "ship_year", F.year("l_shipdate"))
     return extract.pruned_extract(
         lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus", "ship_year"], "ship_year",
         [1996, 1998, 2000], 5, ["ship_year", "l_returnflag", "l_linestatus"], ["l_orderkey", "l_linenumber"])
@@ -227,6 +230,12 @@ def layer_inventory(lake: Lake) -> DataFrame:
     return _inventory(lake, LAYERS)
 
 
+@query("layer_total", "S16", f"""
+    SELECT COUNT(*) AS tables, CAST(SUM(rows) AS BIGINT) AS rows FROM ({_inventory_sql(LAYERS, "layer")})""")
+def layer_total(lake: Lake) -> DataFrame:
+    return catalog.inventory_total(_inventory(lake, LAYERS))
+
+
 @query("layer_footprint", "S17")
 def layer_footprint(lake: Lake) -> DataFrame:
     files = readers.present_files(lake.spark, lake.folder, "*.parquet")

@@ -202,7 +202,10 @@ def last_run_hours(lake: Lake) -> DataFrame:
     return monitor.last_run_hours(step_runs(lake))
 
 
-@query("live_monitor", "M1-M3")
+@query("live_monitor", "M1-M3", """
+    SELECT 'demo' AS pipeline, 'orders_to_raw' AS step, 'bronze' AS layer, COUNT(*) AS rows_in,
+           COUNT(*) FILTER (o_totalprice >= 50000) AS rows_out, COUNT(*) FILTER (o_totalprice < 50000) AS rows_rejected,
+           'OK' AS status FROM orders""")
 def live_monitor(lake: Lake) -> DataFrame:
     """Step rows of a real run whose counts come from the writes themselves."""
     run = monitor.Monitor(lake.spark, lake.scratch("monitor"), "demo")

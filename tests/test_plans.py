@@ -117,6 +117,8 @@ def test_panels(spark, fact):
     rates = np.array([60.0, 60.0, 85.0, 40.5, 39.99])
     assert (row_.units, row_["mean"], row_.median, row_.pct_at_target, row_.pct_critical) == (5, 57.1, 60.0, 20.0, 20.0)
     assert row_.p90_over_p10 == round(np.quantile(rates, .9) / np.quantile(rates, .1), 2)
+    apart = panels.describe_measure(slice_, "rate", 80.0, F.col("risk") == "Critico", None).first()
+    assert apart == row_
     assert panels.histogram(slice_, "rate", 3).selectExpr("sum(rows)").first()[0] == 5
     changes = panels.focus_changes(marts.change_between_cycles(fact, RULES), RULES)
     tally = panels.route_tally(changes, F.lit(6)).first()
