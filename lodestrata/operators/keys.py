@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lodestrata.operators.positions import add_position
+from lodestrata.operators.positions import WINDOW_ROWS, decide_by_position
+
+HEADS = 16 ** 4
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -56,9 +58,14 @@ def sample_per_group(df: DataFrame, group: Sequence[str], key: Sequence[str], si
 
 
 def stratified_split(df: DataFrame, stratum: str, key: Sequence[str], test_share: float = 0.2,
-                     seed: int | str = 42, out: str = "is_test") -> DataFrame:
-    """Mark a fixed share of every stratum as test rows, in seeded order of the key."""
-    placed = add_position(df.withColumn("_draw", seeded_order(key, seed)), [stratum],
-                          [F.col("_draw").asc()], key, "_pos", "_size")
-    return (placed.withColumn(out, F.col("_pos") <= F.round(F.col("_size") * F.lit(test_share)))
-            .drop("_draw", "_pos", "_size"))
+                     seed: int | str = 42, out: str = "is_test", window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """Mark a fixed share of every stratum as test rows, in seeded order of the key.
+
+    The first digits of the seeded hash are at most 65,536 values, so a large
+    stratum is decided by their counts and only one of them is sorted.
+    """
+    drawn = df.withColumn("_draw", seeded_order(key, seed)).withColumn("_head", F.substring("_draw", 1, 4))
+    marked = decide_by_position(
+        drawn, [stratum], "_head", key, lambda position, total: f"({position} <= round({total} * {float(test_share)}D))",
+        "_mark", [F.col("_draw").asc()], HEADS, window_rows)
+    return marked.withColumnRenamed("_mark", out).drop("_draw", "_head")

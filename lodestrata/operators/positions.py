@@ -10,7 +10,7 @@ is numbered on its own and shifted by the total of the slices before it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -114,29 +114,50 @@ def percentile_ranks(df: DataFrame, key: str, measures: Mapping[str, tuple[str,
 
 
 def add_position(df: DataFrame, group: Sequence[str], order: Sequence[Column], keys: Sequence[str],
-                 out: str = "position", size_out: str | None = None,
-                 window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """One-based position of every row in its group; ``keys`` must make the order total.
-
-    ``size_out`` also attaches the number of rows in the group.
-    """
+                 out: str = "position", window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """One-based position of every row in its group; ``keys`` must make the order total."""
     total_order = [*order, *[F.col(k).asc_nulls_last() for k in keys]]
     numbered = running_counts(df.withColumn("_one", F.lit(1)), group, total_order, "_one",
                               "_before", "_total", largest_group(df, group), window_rows)
-    placed = numbered.withColumn(out, F.col("_before") + 1)
-    return (placed.withColumnRenamed("_total", size_out) if size_out else placed).drop("_one", "_before", "_total")
-
-
-def add_tile(df: DataFrame, tiles: int, group: Sequence[str], order: Sequence[Column],
-             keys: Sequence[str], out: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """SQL ``NTILE``: equal parts of each group, the first ones one row longer if it does not divide."""
-    placed = add_position(df, group, order, keys, "_pos", "_size", window_rows)
-    base = F.floor(F.col("_size") / F.lit(tiles))
-    longer = F.col("_size") % F.lit(tiles)
-    cut = longer * (base + 1)
-    tile = (F.when(F.col("_pos") <= cut, F.ceil(F.col("_pos") / (base + 1)))
-            .otherwise(longer + F.ceil(F.try_divide(F.col("_pos") - cut, base))))
-    return placed.withColumn(out, tile.cast("int")).drop("_pos", "_size")
+    return numbered.withColumn(out, F.col("_before") + 1).drop("_one", "_before", "_total")
+
+
+def decide_by_position(df: DataFrame, group: Sequence[str], value: str, keys: Sequence[str],
+                       decide: Callable[[str, str], str], out: str, order: Sequence[Column] = (),
+                       bound: int | None = None, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """A label that follows from a row's position by ``value``, then ``order``, then ``keys``.
+
+    ``decide(position, total)`` is SQL that never decreases with the position.  In
+    large groups the counts per distinct value settle every value whose first and
+    last row get the same label; only rows of the few values a boundary cuts
+    through are put in exact order.
+    """
+    group = list(group)
+    if largest_group(df, group) <= window_rows:
+        total_order = [F.col(value).asc_nulls_last(), *order, *[F.col(k).asc_nulls_last() for k in keys]]
+        placed = running_counts(df.withColumn("_one", F.lit(1)), group, total_order, "_one", "_before", "_total", 0)
+        return placed.withColumn(out, F.expr(decide("(_before + 1)", "_total"))).drop("_one", "_before", "_total")
+    places = value_positions(df, group, value, keep_nulls=True, bound=bound, window_rows=window_rows).select(
+        *group, value, F.col("before").alias("_ahead"), F.col("total").alias("_of"),
+        F.expr(decide("(before + 1)", "total")).alias("_low"),
+        F.expr(decide("(before + ties)", "total")).alias("_high"))
+    joined = join_null_safe(df, places, [*group, value], "inner")
+    settled = joined.where("_low = _high").withColumn(out, F.col("_low"))
+    cut = add_position(joined.where("_low <> _high"), [*group, value], order, keys, "_nth", window_rows=window_rows)
+    exact = cut.withColumn(out, F.expr(decide("(_ahead + _nth)", "_of"))).drop("_nth")
+    return settled.unionByName(exact).drop("_ahead", "_of", "_low", "_high")
+
+
+def add_tile(df: DataFrame, tiles: int, group: Sequence[str], value: str, keys: Sequence[str], out: str,
+             bound: int | None = None, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """SQL ``NTILE``: equal parts of each group by ``value``, the first ones one row longer if it does not divide."""
+    def tile(position: str, total: str) -> str:
+        base, longer = f"({total} div {tiles})", f"({total} % {tiles})"
+        cut = f"({longer} * ({base} + 1))"
+        return (f"cast(if({position} <= {cut}, ceil({position} / ({base} + 1)), "
+                f"{longer} + ceil(try_divide({position} - {cut}, {base}))) as int)")
+
+    return decide_by_position(df, group, value, keys, tile, out, bound=bound, window_rows=window_rows)
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: Mapping[str, float],

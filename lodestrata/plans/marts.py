@@ -28,7 +28,7 @@ def unit_indicator(fact: DataFrame, rules: Rules) -> DataFrame:
         .otherwise(F.lit(rules.target_status["below"])),
         "pace": required_pace("gap_final", "cycle", rules.final_year),
     })
-    tiled = add_tile(told, 4, ["cycle", "segment"], [F.col("rate").asc_nulls_last()], ["unit_id"], "quartile")
+    tiled = add_tile(told, 4, ["cycle", "segment"], "rate", ["unit_id"], "quartile", DISTINCT_RATES)
     return add_rank(tiled, ["cycle", "segment", "parent_id"], "rate", "rank_in_parent", bound=DISTINCT_RATES)
 
 

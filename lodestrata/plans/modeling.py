@@ -162,27 +162,30 @@ def cluster_vectors(base: DataFrame, measures: Sequence[str]) -> DataFrame:
     return StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(vectors).transform(vectors)
 
 
-def _best_of_seeds(vectors: DataFrame, k: int, seeds: Sequence[int], parallel: int):
-    def fit(seed: int):
-        return KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=100).fit(vectors)
+def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seeds: Sequence[int] = tuple(range(42, 52)),
+                 parallel: int = 8) -> tuple[DataFrame, dict]:
+    """Silhouette and inertia per k, each the best of several seeds; returns the models too.
 
-    with ThreadPoolExecutor(parallel) as pool:
-        models = list(pool.map(fit, seeds))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    The fits are independent Spark jobs over one cached table and are submitted side by side.
+    """
+    cached = vectors.select("scaled").cache()
+    cached.count()
 
+    def fit(task: tuple[int, int]):
+        k, seed = task
+        return KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=100).fit(cached)
 
-def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seeds: Sequence[int] = tuple(range(42, 52)),
-                 parallel: int = 8) -> tuple[DataFrame, dict]:
-    """Silhouette and inertia per k, each the best of several seeds; returns the models too."""
-    cached = vectors.cache()
-    evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
-    models, rows = {}, []
-    for k in ks:
-        models[k] = _best_of_seeds(cached, k, seeds, parallel)
-        rows.append((k, round(evaluator.evaluate(models[k].transform(cached)), 3),
-                     float(round(models[k].summary.trainingCost))))
-    table = vectors.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double")
-    return table, models
+    def silhouette(model) -> float:
+        return ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster").evaluate(model.transform(cached))
+
+    tasks = [(k, seed) for k in ks for seed in seeds]
+    with ThreadPoolExecutor(parallel) as pool:
+        fits = list(zip(tasks, pool.map(fit, tasks), strict=True))
+        models = {k: min((m for (kk, _), m in fits if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
+        scores = dict(zip(ks, pool.map(silhouette, models.values()), strict=True))
+    cached.unpersist()
+    rows = [(k, round(scores[k], 3), float(round(models[k].summary.trainingCost))) for k in ks]
+    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double"), models
 
 
 def choose_k(scan: DataFrame, low: int = 3, high: int = 6) -> DataFrame:

@@ -36,9 +36,12 @@ def test_sample_is_bounded_whole_and_repeatable(spark):
 
 def test_split_keeps_share_of_every_stratum(spark):
     df = spark.range(200).selectExpr("id", "if(id < 70, 'a', 'b') as s")
-    got = {r.s: (r.t, r.n) for r in keys.stratified_split(df, "s", ["id"]).groupBy("s").agg(
-        F.count_if("is_test").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
-    assert got == {"a": (14, 70), "b": (26, 130)}
+    splits = [keys.stratified_split(df, "s", ["id"], window_rows=rows) for rows in (keys.WINDOW_ROWS, 3)]
+    for split in splits:
+        got = {r.s: (r.t, r.n) for r in split.groupBy("s").agg(
+            F.count_if("is_test").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
+        assert got == {"a": (14, 70), "b": (26, 130)}
+    assert splits[0].exceptAll(splits[1]).isEmpty()
 
 
 @FEW
