@@ -24,6 +24,8 @@ def latency_ms(processed: Column | str, occurred: Column | str) -> Column:
 def in_years(moment: Column | str, years: Sequence[int]) -> Column:
     """Membership in calendar years as plain ranges, which file scans can skip by (``year()`` they cannot)."""
     moment = as_column(moment)
-    ranges = [(moment >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (moment < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
-              for y in years]
-    return reduce(or_, ranges)
+
+    def start(year: int) -> Column:
+        return F.lit(f"{year}-01-01").cast("timestamp_ntz")
+
+    return reduce(or_, [(moment >= start(y)) & (moment < start(y + 1)) for y in years])

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import time
 import uuid
-from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from lodestrata.functions.numeric import half_up, safe_ratio
 from lodestrata.sources.sinks import append_path
@@ -20,76 +19,90 @@ OK, FAILED = "OK", "FAILED"
 MESSAGE_LENGTH = 500
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 class Step:
-    """Row counts of one step; a count may come from an observed write."""
+    """One timed block of a run; leaving the block hands its row to the monitor.
 
-    def __init__(self, name: str, layer: str):
-        self.name, self.layer = name, layer
-        self.counts: dict[str, int | None] = {"rows_in": None, "rows_out": None, "rows_rejected": None}
-        self.note: str | None = None
-        self._observed: list[tuple[Observation, list[str]]] = []
+    Row counts are given by ``record`` or observed on a write by ``observe``.  An error
+    inside the block is noted and alerted, and goes on to the caller.
+    """
 
-    def record(self, **counts: int) -> Step:
-        self.counts.update({k: int(v) for k, v in counts.items()})
-        return self
+    def __init__(self, monitor: Monitor, name: str, layer: str):
+        self.monitor, self.name, self.layer = monitor, name, layer
+        self.counts: dict[str, int] = {}
+        self.status, self.note, self.seconds = OK, None, 0.0
+        self._observed: list[Observation] = []
 
-    def observe(self, df: DataFrame, **measures) -> DataFrame:
+    def record(self, note: str | None = None, **counts: int) -> None:
+        """Set ``rows_in``, ``rows_out``, ``rows_rejected`` and a note."""
+        self.counts.update(counts)
+        self.note = note or self.note
+
+    def observe(self, df: DataFrame, **measures: Column | bool) -> DataFrame:
         """Count while the frame is written, instead of scanning it again.
 
-        ``observe(df, rows_out=True)`` counts rows, ``rows_rejected=<condition>`` counts
-        the rows meeting a condition.
+        ``rows_out=True`` counts rows, ``rows_rejected=<condition>`` those that meet it.
         """
-        observation = Observation(f"{self.name}-{uuid.uuid4().hex[:8]}")
-        columns = [(F.count(F.lit(1)) if m is True else F.count_if(m)).alias(n) for n, m in measures.items()]
-        self._observed.append((observation, list(measures)))
-        return df.observe(observation, *columns)
+        watch = Observation(f"{self.name}-{uuid.uuid4().hex[:8]}")
+        self._observed.append(watch)
+        return df.observe(watch, *[
+            (F.count(F.lit(1)) if what is True else F.count_if(what)).alias(name) for name, what in measures.items()])
 
-    def settle(self) -> dict[str, int | None]:
-        """Take over the counts of the observed writes made so far."""
+    def settle(self) -> dict[str, int]:
+        """Add up the counts of the observed writes made so far."""
         while self._observed:
-            observation, names = self._observed.pop()
-            got = observation.get
-            for n in names:
-                self.counts[n] = (self.counts[n] or 0) + got[n]
+            for name, rows in self._observed.pop().get.items():
+                self.counts[name] = self.counts.get(name, 0) + rows
         return self.counts
 
+    def __enter__(self) -> Step:
+        self.started, self._clock = utc_now(), time.monotonic()
+        return self
+
+    def __exit__(self, kind, error, _trace) -> None:
+        if error is None:
+            self.settle()
+        else:
+            self.status, self.note = FAILED, f"{kind.__name__}: {error}"[:MESSAGE_LENGTH]
+            self.monitor.alert("HIGH", f"step {self.name} failed: {self.note}")
+        self.seconds = round(time.monotonic() - self._clock, 3)
+        self.monitor.steps.append({
+            "step": self.name, "layer": self.layer, "started": self.started, "seconds": self.seconds,
+            **{c: self.counts.get(c) for c in ("rows_in", "rows_out", "rows_rejected")},
+            "status": self.status, "note": self.note})
+
 
 class Monitor:
-    """Collects the steps of one pipeline run and appends them to two tables."""
+    """Collects the steps and alerts of one pipeline run and appends them to two tables."""
 
     def __init__(self, spark: SparkSession, folder: str, pipeline: str, run_id: str | None = None):
-        self.spark, self.folder, self.pipeline = spark, folder.rstrip("/"), pipeline
-        self.run_id = run_id or f"{datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
-        self.steps: list[tuple] = []
-        self.alerts: list[tuple] = []
-
-    @contextmanager
-    def step(self, name: str, layer: str = "-"):
-        """Time a block; a failing block is recorded, alerted and raised again."""
-        step, began, clock = Step(name, layer), datetime.now(timezone.utc), time.perf_counter()
-        status = OK
-        try:
-            yield step
-            step.settle()
-        except Exception as error:
-            status = FAILED
-            step.note = f"{type(error).__name__}: {error}"[:MESSAGE_LENGTH]
-            self.alert("HIGH", f"step {name} failed: {step.note}")
-            raise
-        finally:
-            self.steps.append((self.run_id, self.pipeline, name, layer, began,
-                               round(time.perf_counter() - clock, 3), *step.counts.values(), status, step.note))
+        self.spark, self.folder = spark, folder.rstrip("/")
+        # Run ids sort by time, so the latest run of a pipeline is the largest one.
+        self.run = {"run_id": run_id or f"{utc_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}", "pipeline": pipeline}
+        self.steps: list[dict] = []
+        self.alerts: list[dict] = []
+
+    @property
+    def run_id(self) -> str:
+        return self.run["run_id"]
+
+    def step(self, name: str, layer: str = "-") -> Step:
+        return Step(self, name, layer)
 
     def alert(self, severity: str, message: str) -> None:
-        self.alerts.append((self.run_id, self.pipeline, datetime.now(timezone.utc), severity,
-                            message[:MESSAGE_LENGTH]))
+        """Note an alert; nothing stops."""
+        self.alerts.append({"at": utc_now(), "severity": severity, "message": message[:MESSAGE_LENGTH]})
 
     def flush(self) -> None:
         """Append what was collected and start empty, so a second call adds nothing."""
-        for rows, schema, table in ((self.steps, STEP_SCHEMA, "steps"), (self.alerts, ALERT_SCHEMA, "alerts")):
+        for table, rows, schema in (("steps", self.steps, STEP_SCHEMA), ("alerts", self.alerts, ALERT_SCHEMA)):
             if rows:
-                append_path(self.spark.createDataFrame(rows, schema).coalesce(1), f"{self.folder}/{table}")
-        self.steps, self.alerts = [], []
+                frame = self.spark.createDataFrame([{**self.run, **row} for row in rows], schema)
+                append_path(frame.coalesce(1), f"{self.folder}/{table}")
+                rows.clear()
 
     def stored_steps(self) -> DataFrame:
         return self.spark.read.schema(STEP_SCHEMA).parquet(f"{self.folder}/steps")

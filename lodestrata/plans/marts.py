@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from contextlib import nullcontext, suppress
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,6 +12,7 @@ from lodestrata.functions.labels import ladder, trend
 from lodestrata.functions.numeric import (cycles_to_target, half_up, required_pace, safe_ratio, share,
                                           weighted_mean, weighted_rate)
 from lodestrata.operators.extremes import top
+from lodestrata.operators.monitor import OK, Monitor
 from lodestrata.operators.positions import add_rank, add_tile
 from lodestrata.plans.rules import Rules
 
@@ -209,31 +210,33 @@ def standard_marts(rules: Rules) -> dict[str, MartSpec]:
     return {s.name: s for s in specs}
 
 
-def build_marts(tables: Mapping[str, DataFrame], specs: Mapping[str, MartSpec],
-                write: Callable[[str, DataFrame, MartSpec], DataFrame], monitor,
-                only: Iterable[str] | None = None) -> list[tuple[str, str, float, str]]:
-    """Build and write marts; returns (name, outcome, seconds, note) of each.
+@dataclass(frozen=True)
+class MartResult:
+    """What became of a mart: built, skipped for want of inputs, or failed (optional ones only)."""
 
-    A mart whose inputs are absent is skipped; an optional one may fail without
-    stopping the rest.  ``write`` stores a mart and returns it.
-    """
-    outcome = []
-    for name in (list(only) if only is not None else list(specs)):
-        spec = specs[name]
-        absent = [i for i in spec.inputs if i not in tables]
-        if absent:
-            outcome.append((name, "skipped", 0.0, "missing " + ", ".join(absent)))
-            continue
-        clock = time.perf_counter()
-        try:
-            with monitor.step(f"mart:{name}", layer="gold") as step:
-                write(name, step.observe(spec.build(tables), rows_out=True), spec)
-            outcome.append((name, "built", round(time.perf_counter() - clock, 2), spec.question))
-        except Exception as error:
-            if not spec.optional:
-                raise
-            outcome.append((name, "failed", round(time.perf_counter() - clock, 2), type(error).__name__))
-    return outcome
+    name: str
+    state: str
+    seconds: float
+    note: str
+
+
+def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
+               write: Callable[[str, DataFrame, MartSpec], object], monitor: Monitor) -> MartResult:
+    """Build and store one mart; an error of an optional mart ends with that mart."""
+    absent = [i for i in spec.inputs if i not in tables]
+    if absent:
+        return MartResult(spec.name, "skipped", 0.0, "missing " + ", ".join(absent))
+    forgiving = suppress(Exception) if spec.optional else nullcontext()
+    with forgiving, monitor.step(f"mart:{spec.name}", "gold") as step:
+        write(spec.name, step.observe(spec.build(tables), rows_out=True), spec)
+    return MartResult(spec.name, "built" if step.status == OK else "failed", step.seconds, step.note or spec.question)
+
+
+def build_marts(tables: Mapping[str, DataFrame], specs: Mapping[str, MartSpec],
+                write: Callable[[str, DataFrame, MartSpec], object], monitor: Monitor,
+                only: Iterable[str] | None = None) -> list[MartResult]:
+    """All marts of the registry, or the named ones, in order."""
+    return [build_mart(specs[name], tables, write, monitor) for name in (specs if only is None else only)]
 
 
 def selected(names: str, specs: Mapping[str, MartSpec], everything: Sequence[str] = ("all", "todas")) -> list[str]:

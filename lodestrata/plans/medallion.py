@@ -31,7 +31,8 @@ class Medallion:
     """One configured pipeline."""
 
     def __init__(self, store: Store, monitor: Monitor, rules: Rules = EDUCATION,
-                 minimum: Mapping[str, int] = suites.MINIMUM_ROWS, entities: Sequence[education.Entity] = education.ENTITIES):
+                 minimum: Mapping[str, int] = suites.MINIMUM_ROWS,
+                 entities: Sequence[education.Entity] = education.ENTITIES):
         self.store, self.monitor, self.rules = store, monitor, rules
         self.minimum, self.entities, self.spark = minimum, entities, store.spark
         store.prepare(LAYERS)
@@ -150,14 +151,14 @@ class Medallion:
 
     # Gold.
 
-    def build_gold(self, only: str = "all") -> list[tuple[str, str, float, str]]:
+    def build_gold(self, only: str = "all") -> list[marts.MartResult]:
         """Build the chosen marts, skipping those whose inputs are absent, then check the main one."""
         specs = marts.standard_marts(self.rules)
         results = marts.build_marts(
             self.store.find("silver", SILVER_VIEWS), specs,
             lambda name, df, spec: self.store.write("gold", name, df, spec.cluster_by),
             self.monitor, marts.selected(only, specs))
-        if any(name == "unit_indicator" and state == "built" for name, state, _, _ in results):
+        if any((r.name, r.state) == ("unit_indicator", "built") for r in results):
             enforce(suites.mart_suite(self.store.read("gold", "unit_indicator"), self.rules,
                                       self.minimum["unit_indicator"]).report())
         return results

@@ -87,7 +87,7 @@ def registered_views(lake: Lake) -> DataFrame:
 
     results = build_marts({v: spark.table(v) for v in bound}, specs, write,
                           Monitor(spark, lake.scratch("monitor"), "gold"))
-    skipped = ", ".join(name for name, state, _, _ in results if state == "skipped")
+    skipped = ", ".join(r.name for r in results if r.state == "skipped")
     return built["customers_by_region"].select("r_name", "customers", F.lit(skipped).alias("skipped"))
 
 

@@ -165,17 +165,12 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN last_rate > first_rate AND last_cycle > first_cycle
                     THEN {rnd("(target_final - last_rate) / ((last_rate - first_rate) / (last_cycle - first_cycle))",
                               1)} END AS years_to_target
-        FROM (SELECT unit_id, segment, segment_name, lo AS first_cycle, hi AS last_cycle,
-                     MAX(CASE WHEN cycle = lo THEN rate END) AS first_rate,
-                     MAX(CASE WHEN cycle = hi THEN rate END) AS last_rate,
-                     MAX(CASE WHEN cycle = hi THEN target_final END) AS target_final,
-                     MAX(CASE WHEN cycle = hi THEN unit_name END) AS unit_name,
-                     MAX(CASE WHEN cycle = hi THEN parent_id END) AS parent_id,
-                     MAX(CASE WHEN cycle = hi THEN parent_name END) AS parent_name,
-                     MAX(CASE WHEN cycle = hi THEN region_name END) AS region_name
-              FROM fact JOIN (SELECT unit_id, segment, MIN(cycle) AS lo, MAX(cycle) AS hi FROM fact
-                              GROUP BY unit_id, segment) USING (unit_id, segment)
-              GROUP BY unit_id, segment, segment_name, lo, hi)"""),
+        FROM (SELECT unit_id, segment, segment_name, MIN(cycle) AS first_cycle, MAX(cycle) AS last_cycle,
+                     arg_min(rate, cycle) AS first_rate, arg_max(rate, cycle) AS last_rate,
+                     arg_max(target_final, cycle) AS target_final, arg_max(unit_name, cycle) AS unit_name,
+                     arg_max(parent_id, cycle) AS parent_id, arg_max(parent_name, cycle) AS parent_name,
+                     arg_max(region_name, cycle) AS region_name
+              FROM fact GROUP BY unit_id, segment, segment_name)"""),
     "focus_changes": (("change_mart",), f"SELECT * FROM change_mart WHERE segment = {FOCUS} AND change IS NOT NULL"),
     "features": (("fact", "records"), f"""
         SELECT f.cycle, f.unit_id, f.unit_name, f.parent_id, f.parent_name, f.region_name, f.participation,

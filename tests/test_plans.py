@@ -86,9 +86,9 @@ def test_mart_builder(spark, fact, folder):
              "c": marts.MartSpec("c", "?", ("fact",), lambda t: t["fact"].select("absent"), optional=True)}
     write = lambda name, df, spec: df.write.mode("overwrite").parquet(f"{folder}/{name}")
     run = Monitor(spark, folder, "gold")
-    assert [(n, s) for n, s, _, _ in marts.build_marts({"fact": fact}, specs, write, run)] == [
+    assert [(r.name, r.state) for r in marts.build_marts({"fact": fact}, specs, write, run)] == [
         ("a", "built"), ("b", "skipped"), ("c", "failed")]
-    assert [s[7] for s in run.steps] == [1, None]
+    assert [s["rows_out"] for s in run.steps] == [1, None] and len(run.alerts) == 1
     bad = {"d": replace(specs["c"], name="d", optional=False)}
     with pytest.raises(Exception, match="absent"):
         marts.build_marts({"fact": fact}, bad, write, run)
