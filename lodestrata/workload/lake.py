@@ -136,7 +136,7 @@ class Lake:
         rate = safe_ratio(F.col("w_pass") * 100.0, "w")
         declared = F.col("unit_id") % 7 != 0
         return self.unit_sums.where(F.col("segment") == RULES.focus_segment).select(
-            "cycle", "unit_id", F.lit(" Returned ").alias("segment_text"),
+            "cycle", F.col("unit_id").cast("int").alias("unit_id"), F.lit(" Returned ").alias("segment_text"),
             (half_up(rate, 2) + F.when(F.col("unit_id") % 50 == 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("rate"),
             half_up(safe_ratio(F.col("assessed") * 100.0, "registered"), 2).alias("participation"),
             F.floor(rate / 20).cast("int").alias("aggregate_level"),
