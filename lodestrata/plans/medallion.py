@@ -125,6 +125,8 @@ class Medallion:
     def run_stream(self, folder: str, checkpoint: str, files_per_trigger: int | None = None,
                    processed_at: Column | None = None) -> None:
         """Drain the event folder, then upsert accepted events and store alerts."""
+        if self.store.folder is None:
+            raise ValueError("a stream lands in epoch directories and needs a store with a folder")
         schema = ingest.EVENT_SCHEMA
         spoken = {ours: theirs for theirs, ours in education.EVENT_COLUMNS.items()}
         fields = ", ".join(f"`{spoken[f.name]}` {f.dataType.simpleString()}" for f in schema.fields)

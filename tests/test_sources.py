@@ -1,5 +1,6 @@
 import pytest
 
+from lodestrata import storage
 from lodestrata.operators.monitor import Monitor
 from lodestrata.plans.store import Store
 from lodestrata.sources import catalog, footers, lineage, readers, sinks
@@ -81,6 +82,11 @@ def test_store_and_scratch(spark, folder):
     assert callable(release_scratch) and Monitor(spark, folder, "p").run_id
 
 
+def test_scratch_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(storage, "CHECKPOINT_KEY", "spark.lodestrata.unset")
+    assert "lodestrata-" in scratch_root(spark) and scratch_root(spark) == scratch_root(spark)
+
+
 def test_dictionary_and_share(spark):
     counts = spark.createDataFrame([("csv", 1), ("parquet", 3), ("csv", 0)], "format string, rows int")
     assert {r.format: r.pct for r in lineage.share_by(counts, "format", "rows").collect()} == {"csv": 25.0, "parquet": 75.0}
