@@ -6,7 +6,8 @@ ranks cannot win. Bands of a few slots give candidates, candidates are confirmed
 links are joined into components.
 
 Hot groups: equal sets are one class before anything is compared, a band's classes are each compared with the band's
-smallest one only, and classes of one band that are still apart are compared in blocks by their signatures.
+smallest one only, and where a band's classes are still apart, they are compared in blocks of bounded size, of which only
+links that join components come out.
 
 Null and empty texts have an empty set and link with nothing; equal texts always link; a row whose id is null takes no
 part and is kept out of components (component null, not kept); rows that repeat an id are judged by their own text.
@@ -28,8 +29,8 @@ from lodestrata.storage import materialise
 
 SLOTS, BANDS = 240, 40
 SHINGLE, SIMILARITY = 5, 80
-#: Rows of one block when classes of a band are compared by signature.
-BLOCK = 1024
+#: Classes, and shingles of them together, in one block when the classes of a band are compared with each other.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 #: Share of equal slots below which a pair is not verified: over five standard deviations below the threshold.
 ESTIMATE = 0.65
 
@@ -129,19 +130,54 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _close_pairs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of classes from two blocks (or one) of a band, of other components, whose signatures agree enough."""
-    one, two = group[group["mine"] == key[1]], group[group["mine"] == key[2]]
-    marks = [np.frombuffer(b"".join(g["marks"]), np.uint8).reshape(-1, SLOTS) for g in (one, two)]
-    out = []
-    for i in range(len(one)):
-        agree = (marks[1] == marks[0][i]).mean(axis=1) >= ESTIMATE
-        agree &= two["component"].to_numpy() != one["component"].iat[i]
-        agree &= two["u"].to_numpy() > one["u"].iat[i] if key[1] == key[2] else True
-        if agree.any():
-            hit = two[agree]
-            out.append(pd.DataFrame({"u": one["u"].iat[i], "key_u": one["k1"].iat[i], "v": hit["u"], "key_v": hit["k1"]}))
-    return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("u", "key_u", "v", "key_v")})
+def _sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch):
+                bounds, hashes, key = shingle_sets(part.column("text"), k)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(key[0].view(np.int64)),
+                     pa.array([hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
+                    ["u", "k1", "shingles"])
+
+    return run
+
+
+def _block_links(percent: int):
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """Links that join components, among the classes of two blocks (or one) of a band.
+
+        A pair is looked at in the first band it shares; signatures pick the pairs that are confirmed on whole sets.
+        """
+        one = np.flatnonzero(group["mine"] == key[1])
+        two = np.flatnonzero(group["mine"] == key[2])
+        node, own = group["u"].to_numpy(), group["component"].tolist()
+        marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(-1, SLOTS)
+        bands = np.stack(group["bands"].to_numpy())
+        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+        root = {c: c for c in own}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out = []
+        for i in one:
+            near = two[(marks[two] == marks[i]).mean(axis=1) >= ESTIMATE]
+            near = near[bands[near, (bands[near] == bands[i]).argmax(axis=1)] == key[0]]
+            for j in near[node[near] > node[i]] if key[1] == key[2] else near:
+                a, b = sets[i], sets[j]
+                if top(own[i]) == top(own[j]) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                    continue
+                common = len(a) + len(b) - len(np.union1d(a, b))
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    root[top(own[i])] = top(own[j])
+                    out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -155,8 +191,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = materialise(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("head")), "heads")
     classes = materialise(
         filled.join(heads, ["k1", "k2"]).where(F.col("doc_id") == F.col("head"))
-        .select(F.col("doc_id").alias("u"), "k1", "bands", "marks"), "classes")
-    banded = classes.select("u", "k1", F.explode("bands").alias("band"))
+        .select(F.col("doc_id").alias("u"), "k1", "n_shingles", "bands", "marks"), "classes")
+    banded = classes.select("u", "k1", "n_shingles", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("last")) \
         .where(F.col("v") < F.col("last")).select("band", "v")
     members = materialise(banded.join(leaders, "band"), "members")
@@ -174,23 +210,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialise(confirmed(pairs), "links")
     joined = components(links)
     # Classes of a band that their leader has not brought together: all of them against each other, in blocks.
-    labelled = members.select("band", "u").join(joined, F.col("u") == F.col("node"), "left") \
-        .select("band", "u", F.coalesce("component", "u").alias("component"))
+    labelled = members.select("band", "u", "n_shingles").join(joined, F.col("u") == F.col("node"), "left") \
+        .select("band", "u", "n_shingles", F.coalesce("component", "u").alias("component"))
     apart = labelled.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")) \
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.sum("n_shingles").alias("shingles")) \
         .where((F.col("low") < F.col("high")) & (F.col("n") > 2)) \
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("band", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                          lambda o: F.struct(F.least("mine", o).alias("i"), F.greatest("mine", o).alias("j")))
-    blocks = labelled.join(apart, "band").withColumn("mine", mine) \
-        .select("band", "u", "component", "mine", F.explode(others).alias("pair")) \
-        .join(classes.select("u", "k1", "marks"), "u") \
-        .select("band", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "u", "component", "mine", "k1", "marks")
-    more = blocks.groupBy("band", "i", "j").applyInPandas(_close_pairs, "u long, key_u long, v long, key_v long")
-    more = materialise(more.distinct().join(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"],
-                                            "left_anti"), "more-pairs")
-    again = materialise(confirmed(more), "more-links")
+    spread = labelled.join(apart, "band").withColumn("mine", mine) \
+        .select("band", "u", "component", "mine", F.explode(others).alias("pair"))
+    sets = texts.join(spread.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi") \
+        .mapInArrow(_sets(shingle), "u long, k1 long, shingles binary").join(
+            classes.select("u", "k1", "marks", "bands"), ["u", "k1"]).drop("k1")
+    again = materialise(
+        spread.select("band", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "u", "component", "mine")
+        .join(sets, "u").groupBy("band", "i", "j").applyInPandas(_block_links(percent), "u long, v long").distinct(),
+        "more-links")
     if again.take(1):
         joined = components(joined.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(again))
     named = heads.join(joined, F.col("head") == F.col("node"), "left") \

@@ -21,56 +21,62 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.llm import text as T
+from lodestrata.llm.word_memo import WordMemo
 from lodestrata.storage import materialise
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together in one group, and how often loose pieces are dealt anew.
 GROUP, ROUNDS = 4096, 3
-#: Words remembered with their ids by each Python worker.
-REMEMBERED = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_tokenizers: dict[str, object] = {}
-_known: dict[str, dict[str, bytes]] = defaultdict(dict)
+_memos: dict[str, WordMemo] = {}
 
 
-def word_ids(path: str, texts: list[str]) -> list[bytes]:
-    """Ids of every text as little-endian unsigned 32-bit integers.
-
-    White space ends a word for this tokenizer and no id spans it, so words are encoded once and remembered.
-    """
-    if path not in _tokenizers:
+def word_memo(path: str) -> WordMemo:
+    """This worker's memory of the tokenizer's words."""
+    if path not in _memos:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-    known = _known[path]
-    if len(known) > REMEMBERED:
-        known.clear()
-    # str.split also cuts at four separators that the tokenizer does not take as white space.
-    split = [t.split() if t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split(" ") for t in texts]
-    new = list(set().union(*split).difference(known)) if split else []
-    for i in range(0, len(new), 4096):
-        part = new[i:i + 4096]
-        for word, code in zip(part, _tokenizers[path].encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.asarray(code.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        tokenizer = Tokenizer.from_file(path)
 
+        def encode(words: list[bytes]) -> list[np.ndarray]:
+            codes = []
+            for i in range(0, len(words), 4096):
+                part = [w.decode() for w in words[i:i + 4096]]
+                codes += [np.asarray(c.ids, np.uint32) for c in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            return codes
 
-def _cut(path: str, capacity: int):
-    end = np.array([END_ID], "<u4").tobytes()
+        _memos[path] = WordMemo(encode)
+    return _memos[path]
+
+
+def token_ids(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts and the bounds of each text.
 
+    White space ends a word for this tokenizer and no id spans it, so words are encoded once and remembered. Case does not
+    count, save in the spellings of special tokens.
+    """
+    data, at = T.texts_of(column)
+    doc, start, end = T.words(data, at)
+    special = b"<|" in data.tobytes()
+    ids, lengths = word_memo(path).ids(data, start, end, T.word_hashes(data, start, end, lower=not special))
+    per_doc = np.bincount(doc, lengths, minlength=len(column)).astype(np.int64)
+    return ids, np.concatenate([[0], np.cumsum(per_doc)])
+
+
+def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch):
                 rows: list[tuple] = []
-                docs = part.column("doc_id").to_pylist()
-                for doc, ids in zip(docs, word_ids(path, part.column("text").fill_null("").to_pylist()), strict=True):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at:at + 4 * capacity]
-                        rows.append((doc, piece, at // 4, len(own) // 4, zlib.crc32(own)))
+                ids, bounds = token_ids(part.column("text"), path)
+                for i, doc in enumerate(part.column("doc_id").to_pylist()):
+                    own = np.append(ids[bounds[i]:bounds[i + 1]], END_ID).astype("<u4")
+                    for piece, at in enumerate(range(0, len(own), capacity)):
+                        cut = own[at:at + capacity]
+                        rows.append((doc, piece, at, len(cut), zlib.crc32(cut.tobytes())))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(columns)],

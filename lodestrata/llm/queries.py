@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestrata.llm import line_dedup, near_dup, packing, quality
+from lodestrata.llm import (ann, html_text, license_scan, line_dedup, near_dup, packing, pieces, quality,
+                            vector_dedup)
 from lodestrata.llm.registry import query, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
@@ -55,3 +56,29 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_slack_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query("op5_license_scan", license_scan.SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, folder, "documents"))
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op8_graph_neighbours")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op10_vector_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
