@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestrata.llm import (ann, html_text, license_scan, line_dedup, near_dup, packing, pieces, quality,
+from lodestrata.llm import (ann, html_text, license_scan, line_dedup, lm, near_dup, packing, pieces, quality,
                             vector_dedup)
 from lodestrata.llm.registry import query, table
 
@@ -82,3 +82,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_vector_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op4_maxent_scores")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_scores(table(spark, folder, "documents"))
