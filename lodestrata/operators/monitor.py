@@ -16,7 +16,6 @@ STEP_SCHEMA = ("run_id string, pipeline string, step string, layer string, start
                "status string, note string")
 ALERT_SCHEMA = "run_id string, pipeline string, at timestamp, severity string, message string"
 OK, FAILED = "OK", "FAILED"
-MESSAGE_LENGTH = 500
 
 
 def utc_now() -> datetime:
@@ -66,7 +65,7 @@ class Step:
         if error is None:
             self.settle()
         else:
-            self.status, self.note = FAILED, f"{kind.__name__}: {error}"[:MESSAGE_LENGTH]
+            self.status, self.note = FAILED, f"{error} ({kind.__name__})"
             self.monitor.alert("HIGH", f"step {self.name} failed: {self.note}")
         self.seconds = round(time.monotonic() - self._clock, 3)
         self.monitor.steps.append({
@@ -94,7 +93,7 @@ class Monitor:
 
     def alert(self, severity: str, message: str) -> None:
         """Note an alert; nothing stops."""
-        self.alerts.append({"at": utc_now(), "severity": severity, "message": message[:MESSAGE_LENGTH]})
+        self.alerts.append({"at": utc_now(), "severity": severity, "message": message})
 
     def flush(self) -> None:
         """Append what was collected and start empty, so a second call adds nothing."""

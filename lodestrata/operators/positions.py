@@ -183,8 +183,11 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probabiliti
                                 f"then cast(`{value}` as double) end)").alias(f"_{name}_{side}"))
         holds.append(F.expr(f"max({spot} - floor({spot}))").alias(f"_{name}_part"))
     found = places.groupBy(*group).agg(*holds)
-    return found.select(*group, *[F.expr(f"_{n}_lo + (_{n}_hi - _{n}_lo) * _{n}_part").alias(n)
-                                  for n in probabilities])
+    quantiles = [F.expr(f"_{n}_lo + (_{n}_hi - _{n}_lo) * _{n}_part").alias(n) for n in probabilities]
+    if not group:
+        return found.select(*quantiles)
+    # A group without any value has a row of nulls, as with the built-in function.
+    return join_null_safe(df.select(*group).distinct(), found.select(*group, *quantiles), group)
 
 
 def exact_median(df: DataFrame, value: str, bound: int | None = None) -> Column:

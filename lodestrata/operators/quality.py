@@ -108,13 +108,16 @@ class Suite:
     def agrees_with(self, other: DataFrame, keys: Sequence[str], column: str, other_column: str | None = None,
                     tolerance: float = 0.01, max_share: float = 0.01, severity: str = ERROR) -> Suite:
         """Same measure in two tables; only pairs with both values are compared."""
-        ours = self.df.select(*keys, F.col(column).alias("_a"))
-        theirs = other.select(*keys, F.col(other_column or column).alias("_b"))
-        pairs = ours.join(theirs, list(keys)).where("_a is not null and _b is not null")
+        # Equal values of a key are counted before the join, so a hot key does not multiply its rows.
+        ours = self.df.select(*keys, F.col(column).alias("_a")).where("_a is not null") \
+            .groupBy(*keys, "_a").agg(F.count(F.lit(1)).alias("_n"))
+        theirs = other.select(*keys, F.col(other_column or column).alias("_b")).where("_b is not null") \
+            .groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"))
+        pairs = ours.join(theirs, list(keys))
         far, seen = self._name("_far"), self._name("_seen")
         return self._add(
             "agreement", column, severity,
-            {far: f"count_if(abs(_a - _b) > {tolerance})", seen: "count(1)"},
+            {far: f"coalesce(sum(if(abs(_a - _b) > {tolerance}, _n * _m, 0)), 0)", seen: "coalesce(sum(_n * _m), 0)"},
             f"{seen} > 0 and {far} <= {seen} * {max_share}",
             f"if({seen} = 0, 'no common rows to compare', concat({far}, ' of ', {seen}, ' differ'))", pairs)
 

@@ -36,6 +36,6 @@ def crosstab_share(df: DataFrame, row: str, column: str, labels: Sequence[str])
 
 def in_fixed_order(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
     """One row per label in the given order; labels without data keep null measures."""
-    listed = ", ".join(f"named_struct('place', {i}, '{column}', '{v}')" for i, v in enumerate(labels))
-    frame = df.sparkSession.range(1).select(F.expr(f"inline(array({listed}))"))
+    listed = [F.struct(F.lit(i).alias("place"), F.lit(v).alias(column)) for i, v in enumerate(labels)]
+    frame = df.sparkSession.range(1).select(F.inline(F.array(*listed)))
     return frame.join(df, column, "left")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -81,11 +82,14 @@ def read_first_available(spark: SparkSession, candidates: Sequence[Source], min_
     for source in candidates[:-1]:
         try:
             df = source.load(spark)
-            if has_at_least(df, min_rows):
+            if df.columns == ["_corrupt_record"]:
+                reason = "no readable record"
+            elif has_at_least(df, min_rows):
                 return df, source
-            reason = f"fewer than {min_rows} rows"
-        except AnalysisException as error:
-            reason = error.getCondition() or "unreadable"
+            else:
+                reason = f"fewer than {min_rows} rows"
+        except (PySparkException, Py4JJavaError) as error:
+            reason = (error.getCondition() if isinstance(error, PySparkException) else None) or "unreadable"
         if on_fallback:
             on_fallback(source, reason)
     return candidates[-1].load(spark), candidates[-1]
@@ -103,8 +107,8 @@ def missing_entries(expected: DataFrame, files: DataFrame, pattern: str, name: s
     return expected.join(found, name, "left_anti")
 
 
-def require_present(missing: DataFrame, name: str = "name", show: int = 20) -> None:
-    """Stop when anything is missing, naming the first few."""
-    names = [r[0] for r in missing.orderBy(name).limit(show).collect()]
+def require_present(missing: DataFrame, name: str = "name") -> None:
+    """Stop when anything is missing, naming every missing file (a list of expected files fits the driver)."""
+    names = [r[0] for r in missing.orderBy(name).collect()]
     if names:
         raise FileNotFoundError("missing source files: " + ", ".join(names))

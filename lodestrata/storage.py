@@ -23,7 +23,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-        shared = _own_roots.setdefault(app, tempfile.mkdtemp(prefix="lodestrata-"))
+        if app not in _own_roots:
+            _own_roots[app] = tempfile.mkdtemp(prefix="lodestrata-")
+        shared = _own_roots[app]
     return f"{shared.rstrip('/')}/lodestrata/{app}"
 
 

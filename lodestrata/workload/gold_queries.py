@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.functions.numeric import half_up
@@ -365,10 +367,13 @@ def residual_summary(lake: Lake) -> DataFrame:
     return modeling.residual_summary(modeling.fit_models(modeling.split_rows(lake.features), [modeling.RIDGE]))
 
 
-def _clusters(lake: Lake, ks=(2, 3, 4, 5, 6)):
+@lru_cache(maxsize=2)
+def _clusters(lake: Lake):
+    """Vectors, the scan of all k, and the model of the k chosen from it; fitted once for all queries."""
     base = priority.fill_medians(lake.analysis)
     vectors = modeling.cluster_vectors(base, priority.ANALYSIS_MEASURES)
-    return vectors, *modeling.cluster_scan(vectors, ks)
+    scan, models = modeling.cluster_scan(vectors)
+    return vectors, scan, models[modeling.choose_k(scan).first()["k"]]
 
 
 @query("kmeans_select", "L11, L12")
@@ -379,13 +384,13 @@ def kmeans_select(lake: Lake) -> DataFrame:
 
 @query("cluster_profile", "L13")
 def cluster_profile(lake: Lake) -> DataFrame:
-    vectors, _, models = _clusters(lake, (3,))
-    return modeling.cluster_profiles(models[3].transform(vectors), priority.ANALYSIS_MEASURES, RULES)
+    vectors, _, model = _clusters(lake)
+    return modeling.cluster_profiles(model.transform(vectors), priority.ANALYSIS_MEASURES, RULES)
 
 
 @query("mart_priority", "G9, L11-L14")
 def mart_priority(lake: Lake) -> DataFrame:
-    vectors, _, models = _clusters(lake, (3,))
-    clustered = models[3].transform(vectors)
+    vectors, _, model = _clusters(lake)
+    clustered = model.transform(vectors)
     profiles = modeling.cluster_profiles(clustered, priority.ANALYSIS_MEASURES, RULES)
     return modeling.priority_mart(lake.priorities, clustered, profiles)

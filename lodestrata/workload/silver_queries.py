@@ -390,4 +390,5 @@ def semi_anti(lake: Lake) -> DataFrame:
     inside = joins.rows_with_match(events, keys, ["key"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("matched"))
     outside = joins.rows_without_match(events, keys, ["key"]).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("unmatched"))
-    return inside.join(outside, "event_type")
+    return inside.join(outside, "event_type", "full").select(
+        "event_type", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("matched", "unmatched")])

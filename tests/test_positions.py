@@ -79,3 +79,12 @@ def test_medians_and_empty(spark, frame):
 def test_sizes_probe(frame):
     df, pdf = frame
     assert positions.largest_group(df, ["g"]) == pdf.g.fillna("-").value_counts().max()
+
+
+def test_quantiles_keep_groups_without_values_on_both_plans(spark):
+    rows = [("a", 1.0), ("a", 3.0), ("b", None), ("b", None), (None, 5.0), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    plans = [positions.exact_quantiles(df, ["g"], "v", {"m": 0.5}, window_rows=n) for n in (1, 1000)]
+    small, large = (sorted(map(tuple, p.collect()), key=str) for p in plans)
+    assert small == large == [("a", 2.0), ("b", None), (None, 5.0)]
+    assert plans[0].dtypes == plans[1].dtypes

@@ -90,3 +90,18 @@ def test_scratch_without_a_shared_folder(spark, monkeypatch):
 def test_dictionary_and_share(spark):
     counts = spark.createDataFrame([("csv", 1), ("parquet", 3), ("csv", 0)], "format string, rows int")
     assert {r.format: r.pct for r in lineage.share_by(counts, "format", "rows").collect()} == {"csv": 25.0, "parquet": 75.0}
+
+
+def test_unreadable_sources_are_passed_over(spark, folder):
+    import os
+
+    spark.range(9).write.parquet(f"{folder}/good")
+    os.mkdir(f"{folder}/broken")
+    for path, content in ((f"{folder}/broken/part.parquet", "not a table"), (f"{folder}/page.json", "<html>error</html>")):
+        with open(path, "w") as f:
+            f.write(content)
+    told = []
+    df, chosen = readers.read_first_available(
+        spark, [readers.Source("broken", "parquet", f"{folder}/broken"), readers.Source("page", "json", f"{folder}/page.json"),
+                readers.Source("good", "parquet", f"{folder}/good")], 1, lambda s, why: told.append(s.name))
+    assert (chosen.name, df.count(), told) == ("good", 9, ["broken", "page"])
