@@ -30,6 +30,12 @@ END_ID = 1
 GROUP, ROUNDS = 4096, 3
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Bytes of letters, and of the signs that begin a new token after a letter whatever follows: ASCII signs but the apostrophe.
+LETTERS, SIGNS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = True
+for _low, _high in ((33, 39), (40, 48), (58, 65), (91, 97), (123, 127)):
+    SIGNS[_low:_high] = True
+
 _memos: dict[str, WordMemo] = {}
 
 
@@ -55,12 +61,13 @@ def word_memo(path: str) -> WordMemo:
 def token_ids(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts and the bounds of each text.
 
-    White space ends a word for this tokenizer and no id spans it, so words are encoded once and remembered. Case does not
-    count, save in the spellings of special tokens.
+    White space ends a word for this tokenizer and no id spans it, nor the place where a sign follows a letter, so words and
+    the signs after them are encoded once and remembered. Special tokens are the exception: where one may stand, words stay
+    whole and case counts.
     """
     data, at = T.texts_of(column)
-    doc, start, end = T.words(data, at)
     special = b"<|" in data.tobytes()
+    doc, start, end = T.words(data, at, parted=None if special else (LETTERS, SIGNS))
     ids, lengths = word_memo(path).ids(data, start, end, T.word_hashes(data, start, end, lower=not special))
     per_doc = np.bincount(doc, lengths, minlength=len(column)).astype(np.int64)
     return ids, np.concatenate([[0], np.cumsum(per_doc)])

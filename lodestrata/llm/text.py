@@ -73,8 +73,12 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         first = last
 
 
-def words(data: np.ndarray, at: np.ndarray, classes: np.ndarray = SPACED) -> tuple[np.ndarray, ...]:
-    """(document, start, end) of every run of bytes of one class; class 0 separates, and so does the end of a text."""
+def words(data: np.ndarray, at: np.ndarray, classes: np.ndarray = SPACED,
+          parted: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """(document, start, end) of every run of bytes of one class; class 0 separates, and so does the end of a text.
+
+    ``parted`` (two tables of booleans) also cuts between a byte of the first kind and one of the second.
+    """
     none = np.zeros(0, np.int64)
     if len(data) == 0:
         return none, none, none
@@ -83,6 +87,8 @@ def words(data: np.ndarray, at: np.ndarray, classes: np.ndarray = SPACED) -> tup
     cut[0] = cut[-1] = True
     np.not_equal(kind[1:], kind[:-1], out=cut[1:-1])
     cut[at] = True
+    if parted is not None:
+        cut[1:-1] |= parted[0][data[:-1]] & parted[1][data[1:]]
     start = np.flatnonzero(cut[:-1] & (kind > 0))
     ends = np.flatnonzero(cut)
     end = ends[np.searchsorted(ends, start, "right")]
