@@ -12,11 +12,13 @@ def as_column(value: Column | str) -> Column:
 def half_up(value: Column | str, digits: int) -> Column:
     """Round half up on the decimal value, insensitive to summation-order noise.
 
-    Going through eight decimals first absorbs the last-bit differences that a
-    distributed sum has from run to run, so a published figure never flips
-    between two executions.  NaN has no decimal value and gives null.
+    The last digits of a double differ from run to run with the order of a distributed sum. They are cut first: a rate,
+    or whatever is below 1000, goes through twelve decimals, a larger figure through eight. NaN has no decimal value and
+    gives null; a value of any size is kept.
     """
-    return F.round(as_column(value).try_cast("decimal(38,8)"), digits).cast("double")
+    number = as_column(value).cast("double")
+    steady = F.when(F.abs(number) < 1000, F.round(number, 12)).when(~F.isnan(number), F.round(number, 8))
+    return F.round(steady, digits)
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -24,13 +26,13 @@ def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(as_column(numerator).cast("double"), as_column(denominator).cast("double"))
 
 
-def weighted_rate(flag: Column | str, weight: Column | str) -> Column:
+def weighted_rate(flag: Column | str, weight: Column | str, nobody: float | None = 0.0) -> Column:
     """Percentage of the weight carried by flagged rows.
 
-    Zero when nobody passes; null only when there is no weight at all.
+    ``nobody`` is the figure when no row is flagged; without any weight the rate is null.
     """
     flag, weight = as_column(flag), as_column(weight)
-    passed = F.sum(F.when(flag, weight).otherwise(F.when(weight.isNotNull(), F.lit(0.0))))
+    passed = F.sum(F.when(flag, weight).otherwise(F.when(weight.isNotNull(), F.lit(nobody))))
     return safe_ratio(F.lit(100.0) * passed, F.sum(weight))
 
 

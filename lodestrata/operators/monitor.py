@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from datetime import datetime, timezone
@@ -16,12 +17,23 @@ STEP_SCHEMA = ("run_id string, pipeline string, step string, layer string, start
                "status string, note string")
 ALERT_SCHEMA = "run_id string, pipeline string, at timestamp, severity string, message string"
 OK, FAILED = "OK", "FAILED"
+# A count reaches the driver with the end of its write; one that has not come by then belongs to no finished write.
+SETTLE_SECONDS = 20.0
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _counts_of(watch: Observation, seconds: float) -> dict[str, int]:
+    """What was observed; empty if no write has reported in time (``get`` alone would wait for ever)."""
+    got: dict[str, int] = {}
+    waiting = threading.Thread(target=lambda: got.update(watch.get), daemon=True)
+    waiting.start()
+    waiting.join(seconds)
+    return dict(got)
+
+
 class Step:
     """One timed block of a run; leaving the block hands its row to the monitor.
 
@@ -50,10 +62,10 @@ class Step:
         return df.observe(watch, *[
             (F.count(F.lit(1)) if what is True else F.count_if(what)).alias(name) for name, what in measures.items()])
 
-    def settle(self) -> dict[str, int]:
-        """Add up the counts of the observed writes made so far."""
+    def settle(self, seconds: float = SETTLE_SECONDS) -> dict[str, int]:
+        """Add up the counts of the observed writes made so far; a frame that nothing wrote leaves its counts unset."""
         while self._observed:
-            for name, rows in self._observed.pop().get.items():
+            for name, rows in _counts_of(self._observed.pop(), seconds).items():
                 self.counts[name] = self.counts.get(name, 0) + rows
         return self.counts
 

@@ -21,7 +21,11 @@ REPORT_COLUMNS = ("check_no", "table", "layer", "check", "column", "status", "se
 
 
 class QualityGateError(Exception):
-    """At least one ERROR rule of a gate did not hold."""
+    """A gate stayed shut; ``failures`` holds one line per check that was not met."""
+
+    def __init__(self, reason: str, failures: Sequence[str] = ()):
+        super().__init__("\n- ".join([reason, *failures]))
+        self.failures = list(failures)
 
 
 @dataclass(frozen=True)
@@ -167,6 +171,6 @@ def enforce(report: DataFrame, on_warning=None) -> list:
             on_warning(f"{row.table}.{row.check} -> {row.detail}")
     failed = [r for r in rows if r.status == "FAIL"]
     if failed:
-        listed = "; ".join(f"{r.table}.{r.check}:{r.column} -> {r.detail}" for r in failed)
-        raise QualityGateError(f"{len(failed)} check(s) failed: {listed}")
+        raise QualityGateError(f"{len(failed)} checks of {len(rows)} keep the gate shut:",
+                               [f"{r.table}.{r.check}:{r.column} -> {r.detail}" for r in failed])
     return rows

@@ -2,53 +2,80 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestrata.operators.keys import one_per_key
-from lodestrata.storage import materialise, scratch_path
+from lodestrata.storage import materialise
 
-BUCKET = "_bucket"
+# The name of the partition column carries the bucket count, so a table keeps the count it was made with.
+BUCKET_NAME = re.compile(r"_bucket_of_(\d+)")
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    """Bucket by the text of the keys, which stays when an int key becomes a bigint."""
+    place = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    return df.withColumn(f"_bucket_of_{buckets}", place)
+
+
+def _without(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key ``source`` lacks; a null key equals a null key."""
+    given = source.select(*[F.col(k).alias(f"_source_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_source_{k}")) for k in keys])
+    return target.join(given, same, "left_anti")
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """The table after update-all / insert-all; repeated source keys keep their latest row."""
+    """The table after update-all / insert-all; repeated source keys keep their latest row.
+
+    Columns of one side only are null in the rows of the other; types become the wider of the two.
+    """
     newest = one_per_key(source, keys, order)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(newest, allowMissingColumns=True)
+    return _without(target, newest, keys).unionByName(newest, allowMissingColumns=True)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _bucket_column(df: DataFrame) -> str:
+    return next(c for c in df.columns if BUCKET_NAME.fullmatch(c))
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
            order: Sequence[Column] = (), buckets: int = 64) -> None:
     """Apply ``source`` to the table at ``path``, rewriting only the buckets it touches.
 
-    Buckets hash the unique key, so they stay even whatever the data.  The new
-    buckets are staged in the scratch folder first; a job that dies in between
-    leaves the table as it was, and running it again gives the same table.
+    ``buckets`` counts for a new table only.  A new column joins the table and is null in older rows; a wider type of a
+    known column rewrites every bucket, so that all files agree.  Null keys match null keys.  Spark stages the new
+    buckets and moves them in when all are written.  A job that dies while they move may leave some buckets at the new
+    state and some at the old; running it again gives the same table.
     """
-    newest = materialise(_bucketed(one_per_key(source, keys, order), keys, buckets), "upsert-source")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-    if exists:
-        current = spark.read.parquet(path)
-        # At most `buckets` numbers; the filter prunes untouched directories.
-        touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]
-        kept = (current.where(F.col(BUCKET).isin(touched))
-                .join(newest.select(*keys), list(keys), "left_anti"))
-        result = kept.unionByName(newest, allowMissingColumns=True)
+    newest = materialise(one_per_key(source, keys, order), "upsert-source")
+    if not _exists(spark, path):
+        result = _bucketed(newest, keys, buckets)
+        bucket = _bucket_column(result)
     else:
-        result = newest
-    staged_path = scratch_path(spark, "upsert-staged")
+        stored = spark.read.option("mergeSchema", True).parquet(path)
+        bucket = _bucket_column(stored)
+        newest = _bucketed(newest, keys, int(BUCKET_NAME.fullmatch(bucket)[1]))
+        wider = {f.name: f.dataType for f in stored.limit(0).unionByName(newest.limit(0), allowMissingColumns=True).schema}
+        current = stored
+        if all(wider[f.name] == f.dataType for f in stored.schema):
+            # At most as many numbers as buckets; the filter prunes untouched directories.
+            touched = [r[0] for r in newest.select(bucket).distinct().collect()]
+            current = stored.where(F.col(bucket).isin(touched))
+        result = _without(current, newest, keys).unionByName(newest, allowMissingColumns=True)
     # Rebalancing keeps a bucket together but splits it when it outgrows one task.
-    result.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(staged_path)
-    staged = spark.read.schema(result.schema).parquet(staged_path)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    (result.hint("rebalance", bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(bucket).parquet(path))
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    """The table with every column that any delivery brought."""
+    stored = spark.read.option("mergeSchema", True).parquet(path)
+    return stored.drop(_bucket_column(stored))

@@ -15,6 +15,7 @@ from lodestrata.operators.extremes import top
 from lodestrata.operators.monitor import OK, Monitor
 from lodestrata.operators.positions import add_rank, add_tile
 from lodestrata.plans.rules import Rules
+from lodestrata.sources.sinks import clustered
 
 # Rates carry two decimals between 0 and 100, so a group has at most this many distinct ones.
 DISTINCT_RATES = 10_002
@@ -99,7 +100,7 @@ def _record_measures() -> dict:
         "std_score": half_up(F.stddev_samp(score), 2),
         "min_score": half_up(F.min("score"), 2),
         "max_score": half_up(F.max("score"), 2),
-        "rate": half_up(weighted_rate(F.coalesce(F.col("passed"), F.lit(False)), weight), 2),
+        "rate": half_up(weighted_rate(F.col("passed"), weight, nobody=None), 2),
     }
 
 
@@ -222,13 +223,16 @@ class MartResult:
 
 def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
                write: Callable[[str, DataFrame, MartSpec], object], monitor: Monitor) -> MartResult:
-    """Build and store one mart; an error of an optional mart ends with that mart."""
+    """Build, place by ``cluster_by`` and store one mart; an error of an optional mart ends with that mart."""
     absent = [i for i in spec.inputs if i not in tables]
     if absent:
         return MartResult(spec.name, "skipped", 0.0, "missing " + ", ".join(absent))
     forgiving = suppress(Exception) if spec.optional else nullcontext()
     with forgiving, monitor.step(f"mart:{spec.name}", "gold") as step:
-        write(spec.name, step.observe(spec.build(tables), rows_out=True), spec)
+        built = spec.build(tables)
+        # Counted above the range partitioning, which also samples whatever lies below it.
+        placed = clustered(built, spec.cluster_by) if spec.cluster_by else built
+        write(spec.name, step.observe(placed, rows_out=True), spec)
     return MartResult(spec.name, "built" if step.status == OK else "failed", step.seconds, step.note or spec.question)
 
 

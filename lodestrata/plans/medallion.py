@@ -55,7 +55,7 @@ class Medallion:
                     lambda s, why, e=entity: self.monitor.alert("LOW", f"{e.name}: {s.name} passed over, {why}"))
                 stamped = lineage.stamp(raw, entity.name, chosen.name, chosen.format, self.monitor.run_id, today)
                 self.store.write("bronze", entity.name, step.observe(stamped, rows_out=True))
-                counts.append((entity.name, chosen.format, step.settle()["rows_out"]))
+                counts.append((entity.name, chosen.format, step.settle().get("rows_out")))
         loaded = self.spark.createDataFrame(counts, "table string, format string, rows bigint")
         return lineage.share_by(loaded, "format", "rows")
 
@@ -124,7 +124,7 @@ class Medallion:
 
     def run_stream(self, folder: str, checkpoint: str, files_per_trigger: int | None = None,
                    processed_at: Column | None = None) -> None:
-        """Drain the event folder, then upsert accepted events and store alerts."""
+        """Drain the event folder, upserting the accepted events of every epoch, then store alerts."""
         if self.store.folder is None:
             raise ValueError("a stream lands in epoch directories and needs a store with a folder")
         schema = ingest.EVENT_SCHEMA
@@ -132,9 +132,15 @@ class Medallion:
         fields = ", ".join(f"`{spoken[f.name]}` {f.dataType.simpleString()}" for f in schema.fields)
         stream = ingest.event_stream(self.spark, folder, fields, files_per_trigger)
         landing = f"{self.store.folder}/bronze/events"
+
+        def keep(epoch: DataFrame) -> None:
+            upsert(self.spark, self.store.location("silver", "stream"),
+                   ingest.accepted_events(epoch).select(*UPSERT_COLUMNS), ["event_id"], [F.col("ts_text").desc()])
+
         with self.monitor.step("stream", "bronze") as step:
             ingest.drain(stream.withColumnsRenamed(education.EVENT_COLUMNS),
-                         ingest.land_batch(self.store.read("silver", "units"), self.rules, landing, processed_at),
+                         ingest.land_batch(self.store.read("silver", "units"), self.rules, landing, processed_at,
+                                           keep),
                          checkpoint)
             everything = ingest.landed(self.spark, landing)
             alarm = views.dead_letter_alarm(everything, self.rules).first()
@@ -142,9 +148,7 @@ class Medallion:
         if alarm.alarm:
             self.monitor.alert("HIGH", f"dead letters at {alarm.rejected_pct}%, limit {self.rules.dead_letter_limit}%")
         events = ingest.accepted_events(everything)
-        with self.monitor.step("upsert", "silver"):
-            upsert(self.spark, self.store.location("silver", "stream"), events.select(*UPSERT_COLUMNS), ["event_id"],
-                   [F.col("ts_text").desc()])
+        with self.monitor.step("alerts", "silver"):
             fact = self.store.read("silver", "fact")
             latest = fact.agg(F.max("cycle")).scalar()
             baseline = fact.where((F.col("cycle") == latest) & (F.col("segment") == self.rules.focus_segment)).select(
@@ -158,7 +162,7 @@ class Medallion:
         specs = marts.standard_marts(self.rules)
         results = marts.build_marts(
             self.store.find("silver", SILVER_VIEWS), specs,
-            lambda name, df, spec: self.store.write("gold", name, df, spec.cluster_by),
+            lambda name, df, spec: self.store.write("gold", name, df),
             self.monitor, marts.selected(only, specs))
         if any((r.name, r.state) == ("unit_indicator", "built") for r in results):
             enforce(suites.mart_suite(self.store.read("gold", "unit_indicator"), self.rules,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace a catalog table and its schema."""
-    df.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(table)
+    df.write.mode("overwrite").saveAsTable(table)
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

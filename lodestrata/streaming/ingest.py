@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from lodestrata.operators.keys import one_per_key
 from lodestrata.plans.rules import Rules
+from lodestrata.sources.lineage import record_hash
 from lodestrata.streaming.contract import EVENT_SCHEMA, enrich, judge
 
 DEAD_LETTER_COLUMNS = ("event_id", "unit_id", "score", "ts_text", "injected_defect", "rejection")
@@ -18,16 +22,23 @@ def event_stream(spark: SparkSession, folder: str, schema: StructType = EVENT_SC
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).json(folder)
 
 
-def land_batch(units: DataFrame, rules: Rules, folder: str, processed_at: Column | None = None):
+def land_batch(units: DataFrame, rules: Rules, folder: str, processed_at: Column | None = None,
+               then: Callable[[DataFrame], None] | None = None):
     """``foreachBatch`` body: judge, enrich and write one epoch in a single job.
 
-    Accepted and rejected rows go to sibling directories of ``epoch=<id>``, which is
-    overwritten as a whole, so an epoch replayed after a failure replaces itself.
+    Accepted and rejected rows go to sibling directories of ``stream=<id>/epoch=<id>``, which is overwritten as a
+    whole, so an epoch replayed after a failure replaces itself.  The stream's id lives in its checkpoint: another
+    source, or the same one with a fresh checkpoint, lands beside it and not over it.  ``then`` gets what the epoch
+    landed before the epoch counts as done, so it may run twice for one epoch and must be idempotent.
     """
     def land(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
         judged = enrich(judge(batch, units, rules), rules, processed_at)
         marked = judged.withColumn("accepted", F.col("rejection").isNull())
-        marked.write.mode("overwrite").partitionBy("accepted").parquet(f"{folder}/epoch={epoch}")
+        place = f"{folder}/stream={spark.sparkContext.getLocalProperty('sql.streaming.queryId')}/epoch={epoch}"
+        marked.write.mode("overwrite").partitionBy("accepted").parquet(place)
+        if then is not None:
+            then(spark.read.option("basePath", folder).schema(landed_schema(batch.schema)).parquet(place))
 
     return land
 
@@ -42,16 +53,23 @@ def landed_schema(schema: StructType = EVENT_SCHEMA) -> str:
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     return (f"{fields}, event_time timestamp, unit_name string, parent_name string, region_name string, "
             "rejection string, passed boolean, segment_name string, processed_at timestamp, event_date date, "
-            "latency_ms double, accepted boolean, epoch bigint")
+            "latency_ms double, accepted boolean, stream string, epoch bigint")
 
 
 def landed(spark: SparkSession, folder: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
-    """Everything landed so far."""
-    return spark.read.schema(landed_schema(schema)).parquet(folder)
+    """Everything landed so far, each event once however many streams or epochs brought it.
+
+    Events without an id are told apart by their content: all rows of the first stream that brought it count.
+    """
+    everything = spark.read.schema(landed_schema(schema)).parquet(folder)
+    named = one_per_key(everything.where("event_id is not null"), ["event_id"], [F.col("stream"), F.col("epoch")])
+    nameless = everything.where("event_id is null").withColumn("_content", record_hash(schema.fieldNames()))
+    first = nameless.groupBy("_content").agg(F.min("stream").alias("stream"))
+    return named.unionByName(nameless.join(first, ["_content", "stream"], "left_semi").drop("_content")).drop("stream")
 
 
 def accepted_events(everything: DataFrame) -> DataFrame:
-    return everything.where("accepted").drop("accepted", "rejection", "injected_defect")
+    return everything.where("accepted").drop("accepted", "rejection", "injected_defect", "stream")
 
 
 def dead_letters(everything: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def mart_level_distribution(lake: Lake) -> DataFrame:
            {rnd("SUM(score * weight) / NULLIF(SUM(CASE WHEN assessed THEN weight END), 0)", 2)} AS mean_score,
            {rnd("STDDEV_SAMP(score)", 2)} AS std_score, {rnd("MIN(score)", 2)} AS min_score,
            {rnd("MAX(score)", 2)} AS max_score,
-           {rnd("100.0 * SUM(CASE WHEN assessed THEN CASE WHEN passed THEN weight ELSE 0 END END)"
+           {rnd("100.0 * SUM(CASE WHEN assessed AND passed THEN weight END)"
                 " / NULLIF(SUM(CASE WHEN assessed THEN weight END), 0)", 2)} AS rate
     FROM records GROUP BY cycle, unit_id, segment, segment_name""", "records"))
 def mart_record_profile(lake: Lake) -> DataFrame:

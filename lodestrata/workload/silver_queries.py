@@ -380,6 +380,22 @@ def q_report(lake: Lake) -> DataFrame:
     return quality.tally(quality.consolidated(raw_suites(lake)))
 
 
+@query("q_gate", "Q11, M2", with_fragments(f"""
+    SELECT 'alert' AS kind, r."table" || '.' || r."check" || ' -> ' || r.detail AS line FROM ({_RAW_SUITE}) r
+    WHERE r.status = 'WARN' UNION ALL
+    SELECT 'stop', r."table" || '.' || r."check" || ':' || r."column" || ' -> ' || r.detail FROM ({_RAW_SUITE}) r
+    WHERE r.status = 'FAIL'""", "raw_indicator", "parent_sums", "national", "raw_parent_targets", "raw_unit_targets",
+                                            "raw_records"))
+def q_gate(lake: Lake) -> DataFrame:
+    """The gate over the raw tables: every alert it gives and every check its stop names."""
+    lines: list[tuple[str, str]] = []
+    try:
+        quality.enforce(quality.consolidated(raw_suites(lake)), lambda message: lines.append(("alert", message)))
+    except quality.QualityGateError as stop:
+        lines += [("stop", line) for line in stop.failures]
+    return lake.spark.createDataFrame(lines, "kind string, line string")
+
+
 @query("semi_anti", "J12, J13", """
     SELECT event_type, COUNT(*) FILTER (user_id IN (SELECT s_suppkey FROM supplier)) AS matched,
            COUNT(*) FILTER (user_id NOT IN (SELECT s_suppkey FROM supplier)) AS unmatched

@@ -7,7 +7,8 @@ from lodestrata.workload.lake import EVENT_RULES, LEVELS, RULES, TARGET_YEARS
 
 def rnd(expression: str, digits: int) -> str:
     """Half-up rounding on the decimal value."""
-    return f"CAST(ROUND(CAST(({expression}) AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    return (f"CASE WHEN abs({expression}) < 1000 THEN CAST(ROUND(CAST(({expression}) AS DECIMAL(38,12)), {digits}) AS DOUBLE) "
+            f"ELSE CAST(ROUND(CAST(({expression}) AS DECIMAL(28,8)), {digits}) AS DOUBLE) END")
 
 
 def big(expression: str) -> str:

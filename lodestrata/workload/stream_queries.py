@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from lodestrata.functions.numeric import half_up
 from lodestrata.operators import monitor, upsert as keyed
 from lodestrata.plans import marts
-from lodestrata.streaming import views
+from lodestrata.sources import sinks
+from lodestrata.streaming import ingest, views
 from lodestrata.streaming.ingest import dead_letters
-from lodestrata.workload.lake import EVENT_RULES, Lake
+from lodestrata.workload.lake import EVENT_RULES, Lake, processed_at
 from lodestrata.workload.registry import query
 from lodestrata.workload.sqltext import FOCUS, rnd, with_fragments
 
@@ -24,6 +25,21 @@ def stream_validate(lake: Lake) -> DataFrame:
     return lake.landed().select("event_id", F.coalesce("rejection", F.lit("accepted")).alias("verdict"))
 
 
+@query("stream_landed_again", "T2, T4", with_fragments("""
+    SELECT event_id, COALESCE(rejection, 'accepted') AS verdict, COUNT(*) AS times FROM judged GROUP BY 1, 2""", "judged"))
+def stream_landed_again(lake: Lake) -> DataFrame:
+    """Two folders with a checkpoint each and both once more with fresh checkpoints: every event counts once."""
+    events, landing = lake.raw_events(), lake.scratch("landing-again")
+    halves = [lake.scratch("event-half") for _ in range(2)]
+    for part, half in enumerate(halves):
+        sinks.append_json(events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part), half)
+    for half in halves * 2:
+        ingest.drain(ingest.event_stream(lake.spark, half),
+                     ingest.land_batch(lake.units, EVENT_RULES, landing, processed_at()), lake.scratch("checkpoint"))
+    return ingest.landed(lake.spark, landing).groupBy(
+        "event_id", F.coalesce("rejection", F.lit("accepted")).alias("verdict")).agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("stream_dead_letter", "T2", with_fragments("""
     SELECT event_id, unit_id, score, ts_text, injected_defect, rejection FROM judged WHERE rejection IS NOT NULL""",
                                                   "judged"))
@@ -86,7 +102,7 @@ def stream_window(lake: Lake) -> DataFrame:
 def stream_window_live(lake: Lake) -> DataFrame:
     """The window aggregate as a running stream, in complete mode so that nothing is late."""
     spark, folder = lake.spark, lake.scratch("windows")
-    source = spark.readStream.schema(lake.landed().schema).parquet(lake.landing_folder).where("accepted")
+    source = spark.readStream.schema(ingest.landed_schema()).parquet(lake.landing_folder).where("accepted")
 
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/latest")
@@ -156,6 +172,24 @@ def stream_upsert_twice(lake: Lake) -> DataFrame:
     return keyed.read_upserted(lake.spark, path)
 
 
+@query("stream_upsert_evolving", "T10", """
+    SELECT user_id, event_type, event_id, CASE WHEN event_id > (SELECT MAX(event_id) / 2 FROM events) THEN value END
+        AS value FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS nth FROM (
+            SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, event_type, event_id, value FROM events))
+    WHERE nth = 1""")
+def stream_upsert_evolving(lake: Lake) -> DataFrame:
+    """Null keys, then a wider key, a new column and another bucket count, every delivery made twice."""
+    events = lake.source("events").select(
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_id"), "event_type", "event_id", "value")
+    middle, path = events.agg(F.max("event_id")).scalar() / 2, lake.scratch("upserted-evolving")
+    older = events.where(F.col("event_id") <= middle).drop("value").withColumn("user_id", F.col("user_id").cast("int"))
+    newer = events.where(F.col("event_id") > middle).withColumn("user_id", F.col("user_id").cast("bigint"))
+    for delivery, buckets in ((older, 8), (older, 4), (newer, 4), (newer, 16)):
+        keyed.upsert(lake.spark, path, delivery, ["user_id", "event_type"], [F.col("event_id").desc()], buckets)
+    return keyed.read_upserted(lake.spark, path)
+
+
 # Monitoring over step runs that the events describe: one step run per day, user group and event type.
 
 def step_runs(lake: Lake) -> DataFrame:
@@ -215,3 +249,21 @@ def live_monitor(lake: Lake) -> DataFrame:
         kept.write.mode("overwrite").parquet(lake.scratch("observed"))
     run.flush()
     return run.stored_steps().select("pipeline", "step", "layer", "rows_in", "rows_out", "rows_rejected", "status")
+
+
+@query("step_counts", "M1, G10", """
+    SELECT step, rows AS rows_out FROM (SELECT COUNT(*) AS rows FROM orders), (VALUES ('clustered'), ('partitioned'), ('plain')) s(step)
+    UNION ALL SELECT 'unwritten', NULL""")
+def step_counts(lake: Lake) -> DataFrame:
+    """Counts of a plain, a partitioned and a clustered write, and of a frame that nothing writes."""
+    run, orders = monitor.Monitor(lake.spark, lake.scratch("monitor"), "writes"), lake.source("orders")
+    placed = {"plain": (orders, ()), "partitioned": (orders, ("o_orderstatus",)),
+              "clustered": (sinks.clustered(orders, ["o_orderdate"]), ())}
+    for name, (frame, parts) in placed.items():
+        with run.step(name) as step:
+            sinks.overwrite_path(step.observe(frame, rows_out=True), lake.scratch(name), parts)
+    with run.step("unwritten") as step:
+        step.observe(orders, rows_out=True)
+        step.settle(seconds=1.0)
+    run.flush()
+    return run.stored_steps().select("step", "rows_out")

@@ -24,6 +24,17 @@ def test_safe_ratio_zero_and_null(spark):
     assert out(df, numeric.safe_ratio("a", "b")) == [None, None, 1.5]
 
 
+def test_half_up_cuts_only_what_a_double_does_not_hold(spark):
+    df = spark.createDataFrame([(62.124999999,), (0.004999999999,), (62.125,), (1e31,), (58938.144999999997,)], "x double")
+    assert out(df, numeric.half_up("x", 2)) == [62.12, 0.0, 62.13, 1e31, 58938.15]
+
+
+def test_rate_when_nobody_passes_can_be_null(spark):
+    df = spark.createDataFrame([(1, False, 2.0), (2, True, 1.0), (2, False, 1.0)], "g int, ok boolean, w double")
+    got = dict(out(df.groupBy("g").agg(numeric.weighted_rate("ok", "w", nobody=None).alias("r")), "g", "r"))
+    assert got == {1: None, 2: 50.0}
+
+
 def test_weighted_rate_zero_null_and_no_weight(spark):
     schema = "g int, ok boolean, w double"
     rows = [(1, False, 2.0), (1, False, 1.0), (2, True, 1.0), (2, False, 3.0), (3, True, 0.0), (4, None, 1.0)]

@@ -115,7 +115,7 @@ def test_stream_joins_batch(spark, built, tmp_path_factory):
     assert events.count() == events.select("event_id").distinct().count() == 35
     alert = built.store.read("silver", "stream_alerts").first()
     assert alert.severity == ("ALTA" if rate(2024, UNITS[0]) > 10 else "MEDIA")
-    assert [a["severity"] for a in built.monitor.alerts] == ["HIGH"]      # 13.6% dead letters
+    assert [a["severity"] for a in built.monitor.alerts] == ["HIGH"]      # 12.5% of the events are dead letters
     assert ("stream_profile", "built") in [(r.name, r.state) for r in built.build_gold("stream_profile")]
 
 
