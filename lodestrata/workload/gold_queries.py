@@ -340,6 +340,20 @@ def persistence_metrics(lake: Lake) -> DataFrame:
     return modeling.metrics_row(modeling.modelling_rows(lake.features), "baseline", "y_rate", "prior_rate")
 
 
+@query("persistence_on_test", "L4, L3, A30", with_fragments(f"""
+    SELECT 'baseline' AS model, {rnd("AVG(abs(y_rate - prior_rate))", 2)} AS mae,
+           {rnd("sqrt(AVG((y_rate - prior_rate) * (y_rate - prior_rate)))", 2)} AS rmse,
+           {rnd("1 - SUM((y_rate - prior_rate) * (y_rate - prior_rate))"
+                " / NULLIF(SUM(y_rate * y_rate) - SUM(y_rate) * SUM(y_rate) / COUNT(*), 0)", 3)} AS r2
+    FROM (SELECT y_rate, prior_rate, COUNT(*) OVER (PARTITION BY region_name) AS size,
+                 ROW_NUMBER() OVER (PARTITION BY region_name ORDER BY md5(unit_id || '|42'), unit_id) AS nth
+          FROM features WHERE prior_rate IS NOT NULL AND y_rate IS NOT NULL)
+    WHERE nth <= round(size * 0.2)""", "features"))
+def persistence_on_test(lake: Lake) -> DataFrame:
+    """The baseline that the fitted models are compared with, on the rows they are tested on."""
+    return modeling.metrics_row(modeling.split_rows(lake.features).where("is_test"), "baseline", "y_rate", "prior_rate")
+
+
 @query("ridge_metrics", "L2, L5, L7, F22, F27")
 def ridge_metrics(lake: Lake) -> DataFrame:
     return modeling.compare_models(modeling.fit_models(modeling.split_rows(lake.features), [modeling.RIDGE]))
