@@ -28,10 +28,23 @@ from lodestrata.llm import text as T
 LABELLED, PASSES = 150, 12
 
 # Elements of the markup language by role.
-RAW = frozenset("script style noscript template textarea select option title iframe object svg math canvas audio video head button".split())
+RAW = frozenset("script style noscript template textarea select option title iframe object svg canvas audio video head button".split())
+#: What a formula holds beside what it shows.
+NOTES = frozenset("annotation annotation-xml".split())
+#: Of these, elements that hold no markup, and those that hold the rest of the page where they have no end tag.
+PLAIN = frozenset("script style iframe textarea title".split())
+TO_END = frozenset("script style iframe textarea".split())
+#: Start tags that end an element without an end tag: an option, the head, a drawing (save in its own HTML parts).
+ENDED_BY = {
+    "option": frozenset("option optgroup select datalist".split()), "head": frozenset(("body",)),
+    "svg": frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+                     "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())}
+HTML_IN_SVG = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-                   "strong sub sup time tt u var wbr".split())
+                   "strong sub sup time tt u var wbr "
+                   "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+                   "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics none".split())
 # Elements and words in class, id and role that tell what a container holds.
 OTHER_TAGS = frozenset("nav aside footer header form menu dialog fieldset".split())
 MAIN_TAGS = frozenset("article main".split())
@@ -63,6 +76,47 @@ def meaning(tag: str, attributes: str) -> str:
     return "main" if tag in MAIN_TAGS or parts & MAIN_WORDS else ""
 
 
+def plain_end(page: str, at: int, tag: str) -> int | None:
+    """Where the text of an element without markup is over, its end tag included."""
+    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else None
+
+
+def element_end(page: str, at: int, tag: str, outer: set[str]) -> tuple[int, bool] | None:
+    """Where an element with markup inside is over, and whether by its own end tag; nothing if the page does not tell.
+
+    Without an end tag of its own it ends before the end tag of an element around it, or before a start tag that ends it.
+    """
+    inside: list[str] = []
+    while m := MARKUP.search(page, at):
+        at = m.end()
+        if m[2] is None:
+            continue
+        name = m[2].lower()
+        if m[1]:
+            if name in inside:
+                while inside.pop() != name:
+                    pass
+            elif name == tag:
+                return at, True
+            elif name in outer:
+                return m.start(), False
+            continue
+        if name in ENDED_BY.get(tag, ()) and not (tag == "svg" and HTML_IN_SVG.intersection(inside)):
+            return m.start(), False
+        if name in VOID or m[3].rstrip().endswith("/"):
+            continue
+        if name in PLAIN and not (tag == "svg" and name == "title"):
+            end = plain_end(page, at, name)
+            if end is not None:
+                at = end
+            elif name in TO_END:
+                return None
+        else:
+            inside.append(name)
+    return None
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space collapsed and character references decoded; those without text are left out."""
     out: list[Block] = []
@@ -100,17 +154,22 @@ def blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag, closing = m[2].lower(), bool(m[1])
-        if tag in RAW:
+        if tag in RAW or tag in NOTES and any(t == "math" for t, _ in stack):
             if not closing and not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                if end:
-                    at = end.end()
-                elif tag not in ("head", "title", "button"):
-                    at = len(page)
+                if tag in PLAIN:
+                    end = plain_end(page, at, tag)
+                    if end is not None or tag in TO_END:
+                        at = len(page) if end is None else end
+                else:
+                    end = element_end(page, at, tag, {t for t, _ in stack})
+                    if end and (end[1] or tag not in ("head", "button")):
+                        at = end[0]
             if tag not in INLINE:
                 parts.append(" ")
             continue
         if tag in INLINE:
+            if tag == "mtd" and not closing:
+                parts.append(" ")
             if tag in ("br", "wbr", "img"):
                 parts.append(" " if tag != "wbr" else "")
             elif closing:
