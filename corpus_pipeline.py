@@ -27,9 +27,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    kept = near_dup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi")
+    """One row of each group of near duplicates, the one with the smallest id; a row without an id only where no other has one."""
+    return near_dup.one_of_each(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

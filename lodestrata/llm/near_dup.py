@@ -238,3 +238,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(named, ["k1", "k2"], "left") \
         .select("doc_id", "n_shingles", component.alias("component_id"),
                 F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                percent: int = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each group of near duplicates does: the one with the smallest id.
+
+    Rows are judged one by one, whatever their ids: every row gets a number of its own, and groups are made of numbers. A
+    row without an id stays unless a row with an id, or another without, stays for its group; equal ids go by the hash of
+    the text. Rows without words are in no group and all stay.
+    """
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "rows")
+    keys = rows.select("n", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"))
+    groups = near_duplicates(keys, "n", "text", shingle, percent).select(F.col("doc_id").alias("n"), "component_id")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", F.xxhash64("text").alias("h"), "n")
+    first = keys.join(groups, "n").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.n").alias("n"))
+    return rows.join(first, "n", "left_semi").select("row.*")
