@@ -22,8 +22,11 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand on many sites, save where such a line stands first; n_chars follows the text."""
-    return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Documents without lines that stand on many sites, save where such a line stands first; n_chars follows the text.
+
+    Lines of any length go, only blank ones are exempt.
+    """
+    return line_dedup.line_dedup(docs, min_chars=None).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
