@@ -5,13 +5,15 @@ neighbours for a node, pruning with a relaxed distance keeps diverse ones, and r
 searches each shard with a beam and the shards' best are merged.
 
 Equal vectors are one node, which keeps as many of its smallest ids as a result can name. Ties go to the smaller id.
-Vectors that are null, zero, of another dimension than most, or hold null or non-finite components take no part, neither
-do rows without an id; rows that repeat an id count once for each different vector. Other columns are not read.
+Vectors of each dimension have shards of their own, and a query searches those of its dimension. Vectors that are null,
+zero, or hold null or non-finite components take no part, neither do rows without an id; rows that repeat an id count once
+for each different vector. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from lodestrata.llm import text as T
-from lodestrata.llm.vectors import matrix, unit, usable
+from lodestrata.llm.vectors import by_dimension, matrix, of_dimension, unit, usable
 from lodestrata.storage import materialise
 
 #: Vectors of a shard, edges of a node, width of the beams, relaxation of the pruning, nodes inserted together.
@@ -124,7 +126,9 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    return rows.mapInArrow(_keyed, "vec_id long, k1 long, k2 long, embedding array<double>")
+    """Rows with keys of their vectors, one dimension after the other."""
+    return reduce(DataFrame.unionAll, [of_dimension(rows, n).mapInArrow(_keyed, "vec_id long, k1 long, k2 long, embedding array<double>")
+                                       for n in by_dimension(rows)])
 
 
 def _search(k: int):
@@ -162,11 +166,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
         rows.dropDuplicates(["vec_id", "k1", "k2"]).withColumn("place", first).where(F.col("place") <= k + 1)
         .groupBy("k1", "k2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.any_value("embedding").alias("embedding")),
         "nodes")
-    shards = max(1, -(-nodes.count() // SHARD))
-    dealt = nodes.withColumn("shard", F.pmod("k1", F.lit(shards)))
-    asked = usable(queries, id_col, vec_col).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    found = dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(
-        _search(k), "query_id long, vec_id long, score double")
+    wanted, parts = usable(queries, id_col, vec_col), []
+    for n, size in by_dimension(nodes).items():
+        shards = max(1, -(-size // SHARD))
+        dealt = of_dimension(nodes, n).withColumn("shard", F.pmod("k1", F.lit(shards)))
+        asked = of_dimension(wanted, n).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+        parts.append(dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(
+            _search(k), "query_id long, vec_id long, score double"))
+    found = reduce(DataFrame.unionAll, parts)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", rank).where(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, embedding array<double>): of the commonest dimension, finite, not zero, without nulls."""
+    """(vec_id, embedding array<double>): of any dimension, finite, not zero, without nulls."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("embedding")) \
         .where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0))
-    common = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     wrong = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-    return rows.where((F.size("embedding") == (common["n"] if common else 0)) & ~F.exists("embedding", wrong)
-                      & F.exists("embedding", lambda x: x != 0))
+    return rows.where(~F.exists("embedding", wrong) & F.exists("embedding", lambda x: x != 0))
+
+
+def by_dimension(rows: DataFrame) -> dict[int, int]:
+    """Number of rows of each dimension; a table has a few, of an empty one it is dimension 0."""
+    found = rows.groupBy(F.size("embedding").alias("n")).count().orderBy("n").collect()
+    return {r["n"]: r["count"] for r in found} or {0: 0}
+
+
+def of_dimension(rows: DataFrame, n: int) -> DataFrame:
+    return rows.where(F.size("embedding") == n)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
