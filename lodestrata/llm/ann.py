@@ -144,7 +144,7 @@ def _search(k: int):
         for first in range(0, len(queries), BATCH):
             part = queries.iloc[first:first + BATCH]
             wanted = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-            found, _ = beam_search(unit(wanted).astype(np.float32), points, graph, entry, BEAM)
+            found, _ = beam_search(unit(wanted).astype(np.float32), points, graph, entry, max(BEAM, 2 * k + 2))
             for q, x, hits in zip(part["vec_id"], wanted, found[:, :2 * k + 2], strict=True):
                 hits = hits[hits >= 0]
                 near = original[hits]
