@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestrata.llm import (ann, html_text, license_scan, line_dedup, lm, near_dup, packing, pieces, quality,
-                            vector_dedup)
+from lodestrata.llm import (ann, html_text, inner_topk, license_scan, line_dedup, lm, near_dup, packing, pieces, quality,
+                            target_resampling, vector_dedup, whitening)
 from lodestrata.llm.registry import query, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
@@ -87,3 +87,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_maxent_scores")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return lm.lm_scores(table(spark, folder, "documents"))
+
+
+@query("op11_inner_topk", """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.x, c.x) AS BIGINT)) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return inner_topk.top_products(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op12_target_resampling", target_resampling.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return target_resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))

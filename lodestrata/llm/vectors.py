@@ -15,6 +15,13 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(~F.exists("embedding", wrong) & F.exists("embedding", lambda x: x != 0))
 
 
+def finite(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, embedding array<double>): of any dimension, zero vectors too, without nulls and non-finite components."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("embedding"))
+    wrong = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return rows.where((F.size("embedding") > 0) & ~F.exists("embedding", wrong))
+
+
 def by_dimension(rows: DataFrame) -> dict[int, int]:
     """Number of rows of each dimension; a table has a few, of an empty one it is dimension 0."""
     found = rows.groupBy(F.size("embedding").alias("n")).count().orderBy("n").collect()
