@@ -42,7 +42,19 @@ def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote below the scratch folder, once what was made of them is written itself."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if f"/lodestrata/{df.sparkSession.sparkContext.applicationId}/" in folder:
+                _delete(df.sparkSession, folder)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables (call when all results are consumed)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    _delete(spark, scratch_root(spark))
