@@ -17,14 +17,15 @@ import random
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lodestrata.llm import text as T
+from lodestrata.llm import sampling, text as T
 
-#: Most pages that weights are fitted on, the smallest by hash of the id; passes over them.
+#: Pages that weights are fitted on, about, drawn by hash; passes over them.
 LABELLED, PASSES = 150, 12
 
 # Elements of the markup language by role.
@@ -40,6 +41,8 @@ ENDED_BY = {
     "svg": frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
                      "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())}
 HTML_IN_SVG = frozenset("foreignobject desc title".split())
+#: A paragraph outside of these does not end where a block inside them starts.
+HOLDS_P = RAW | frozenset("td th article div section body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
                    "strong sub sup time tt u var wbr "
@@ -82,39 +85,63 @@ def plain_end(page: str, at: int, tag: str) -> int | None:
     return end.end() if end else None
 
 
-def element_end(page: str, at: int, tag: str, outer: set[str]) -> tuple[int, bool] | None:
-    """Where an element with markup inside is over, and whether by its own end tag; nothing if the page does not tell.
+def element_ends(page: str) -> dict[int, tuple[int, bool]]:
+    """Where elements with markup inside are over, by where their start tag is over, and whether by their own end tag.
 
-    Without an end tag of its own it ends before the end tag of an element around it, or before a start tag that ends it.
+    One pass with one stack, so that time goes with the length however many elements stay open. Without an end tag of its
+    own an element ends before the end tag of an element around it, or before a start tag that ends it; what the page does
+    not tell is left out.
     """
-    inside: list[str] = []
+    ends: dict[int, tuple[int, bool]] = {}
+    open_: list[tuple[str, int]] = []
+    depth: Counter[str] = Counter()
+    endless: set[str] = set()
+    at = 0
+
+    def pop(before: int) -> str:
+        name, start = open_.pop()
+        depth[name] -= 1
+        ends[start] = (before, False)
+        return name
+
     while m := MARKUP.search(page, at):
         at = m.end()
         if m[2] is None:
             continue
         name = m[2].lower()
         if m[1]:
-            if name in inside:
-                while inside.pop() != name:
-                    pass
-            elif name == tag:
-                return at, True
-            elif name in outer:
-                return m.start(), False
+            if depth[name]:
+                while open_[-1][0] != name:
+                    pop(m.start())
+                ends[open_[-1][1]] = (at, True)
+                depth[open_.pop()[0]] -= 1
             continue
-        if name in ENDED_BY.get(tag, ()) and not (tag == "svg" and HTML_IN_SVG.intersection(inside)):
-            return m.start(), False
+        for tag, enders in ENDED_BY.items():
+            if name in enders and depth[tag] and not (tag == "svg" and any(depth[t] for t in HTML_IN_SVG)):
+                while pop(m.start()) != tag:
+                    pass
+        if name not in INLINE and name not in RAW and depth["p"]:  # a paragraph that this block ends
+            for i in range(len(open_) - 1, -1, -1):
+                if open_[i][0] in HOLDS_P:
+                    break
+                if open_[i][0] == "p":
+                    while len(open_) > i:
+                        pop(m.start())
+                    break
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
-        if name in PLAIN and not (tag == "svg" and name == "title"):
-            end = plain_end(page, at, name)
+        if name in PLAIN and not (name == "title" and depth["svg"]):
+            end = None if name in endless else plain_end(page, at, name)
             if end is not None:
                 at = end
-            elif name in TO_END:
-                return None
+                continue
+            endless.add(name)
+            if name in TO_END:
+                break
         else:
-            inside.append(name)
-    return None
+            open_.append((name, at))
+            depth[name] += 1
+    return ends
 
 
 def blocks(page: str) -> list[Block]:
@@ -123,6 +150,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     linked = at = 0
+    ends: dict[int, tuple[int, bool]] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -161,7 +189,8 @@ def blocks(page: str) -> list[Block]:
                     if end is not None or tag in TO_END:
                         at = len(page) if end is None else end
                 else:
-                    end = element_end(page, at, tag, {t for t, _ in stack})
+                    ends = element_ends(page) if ends is None else ends
+                    end = ends.get(at)
                     if end and (end[1] or tag not in ("head", "button")):
                         at = end[0]
             if tag not in INLINE:
@@ -326,8 +355,8 @@ def layouts(seed: int = 0) -> list[tuple[list[Block], list[bool]]]:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", labelled: int = LABELLED) -> Field_:
     """The field trained on the built-in layouts and on a bounded sample of the pages."""
-    sample = pages.where(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col, F.xxhash64(html_col)) \
-        .select(html_col).limit(labelled).collect()  # LABELLED rows
+    sample = sampling.about(pages.where(F.col(html_col).isNotNull()).select(id_col, html_col), labelled, id_col, html_col) \
+        .orderBy(id_col, html_col).select(html_col).collect()  # about LABELLED rows
     known = [(page, truth) for page in (blocks(r[0]) for r in sample) if (truth := labels_of(page)) is not None]
     return train(layouts() + known)
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lodestrata.llm import text as T
+from lodestrata.llm import sampling, text as T
 from lodestrata.storage import materialise
 
 BUCKETS = 1 << 14
@@ -120,10 +120,10 @@ def best_threshold(score: np.ndarray, good: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", buckets: int = BUCKETS, labelled: int = LABELLED) -> Model:
     """Both models from one pass over all documents, the threshold from the labelled sample."""
-    sample = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("quality")) \
-        .where(F.col("id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("id").agg(F.max("quality").alias("quality")) \
-        .orderBy(F.xxhash64("id"), "id").limit(labelled)
-    sample = F.broadcast(materialise(sample, "labelled"))  # of LABELLED rows at most
+    # A document labelled both 0 and 1 counts as good.
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("quality")) \
+        .where(F.col("id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("id").agg(F.max("quality").alias("quality"))
+    sample = F.broadcast(materialise(sampling.about(known, labelled, "id"), "labelled"))  # of about LABELLED rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = texts.join(sample, "id", "left").select("text", "quality") \
         .mapInArrow(_counts(buckets), "bucket long, target long, raw long") \

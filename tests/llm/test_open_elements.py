@@ -1,5 +1,7 @@
 """Elements without end tags ahead of and inside an article, and formulas in it."""
 
+import time
+
 import pytest
 
 from lodestrata.llm import html_text
@@ -45,3 +47,11 @@ def test_no_end_in_sight_loses_nothing():
 def test_formulas_are_text_of_their_paragraph():
     math = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>x=2</annotation></semantics></math>"
     assert texts(f"<article><p>If {math} then stop.</p></article>") == ["If x=2 then stop."]
+
+
+@pytest.mark.parametrize("tag", sorted(html_text.RAW - {"script", "style", "iframe", "textarea"}))
+def test_time_goes_with_length(tag):
+    clock = time.perf_counter()
+    for page in (f"<{tag}><p>x</p>" * 4000, f"<{tag}><p>x</p>" * 4000 + f"</{tag}>", f"<div><{tag}>y</div>" * 4000):
+        html_text.blocks(page)
+    assert time.perf_counter() - clock < 3
