@@ -125,7 +125,7 @@ def fullest_bins(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]
 
 def _pack(capacity: int, round_: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece"], ignore_index=True)
+        group = group.sort_values(["length", "doc_id", "piece", "row"], ignore_index=True)
         lengths = group["length"].to_numpy()
         bins = fullest_bins(lengths.tolist(), capacity)
         at = np.concatenate([np.asarray(b) for b in bins])
@@ -147,7 +147,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = materialise(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_cut(tokenizer, capacity), PIECES), "pieces")
+        .mapInArrow(_cut(tokenizer, capacity), PIECES).withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = F.col("length") == capacity
     # A piece that fills a sequence is one; its number comes from the piece itself.
     alone = pieces.where(whole).withColumns({"sequence_id": F.monotonically_increasing_id() - (1 << 62),
@@ -156,9 +156,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     for round_ in range(ROUNDS):
         n = waiting.count()
         groups = max(1, -(-n // GROUP))
-        dealt = waiting.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_)), F.lit(groups)))
+        dealt = waiting.withColumn("group", F.pmod(F.xxhash64("row", F.lit(round_)), F.lit(groups)))  # equal pieces too
         packed = materialise(dealt.groupBy("group").applyInPandas(
-            _pack(capacity, round_), f"{PIECES}, sequence_id long, offset long, full boolean"), "packed")
+            _pack(capacity, round_), f"{PIECES}, row long, sequence_id long, offset long, full boolean"), "packed")
         last = groups == 1 or round_ == ROUNDS - 1
         settled.append((packed if last else packed.where("full")).drop("full"))
         if last:
@@ -167,4 +167,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     out = settled[0]
     for more in settled[1:]:
         out = out.unionAll(more)
-    return out
+    return out.drop("row")
