@@ -5,9 +5,8 @@ Lines whose estimate is near the threshold get exact distinct counts. A line on
 it stands first (smallest id, then smallest position) and removed everywhere else.
 
 A null text stays null; null sites are not counted; a row whose id is null sorts before all others; rows that repeat an
-id and a text are one place. Lines shorter than ``min_chars`` are never removed; where it is None, only blank lines are
-exempt and the sites alone decide. All columns are kept as they come, under whatever names, and only the text changes; a
-text may become empty, no row goes.
+id and a text are one place. Blank lines are never removed; of all others, however short, the sites alone decide. All
+columns are kept as they come, under whatever names, and only the text changes; a text may become empty, no row goes.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestrata.storage import materialise
 
 MIN_SITES = 10
-MIN_CHARS = 12
 #: Sketch of 2**12 registers: a relative standard error of 1.6 %; five of them are counted exactly.
 SKETCH_BITS = 12
 NEAR = 0.08
@@ -27,17 +25,16 @@ def _lines(text: str | Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _places(rows: DataFrame, min_chars: int | None) -> DataFrame:
+def _places(rows: DataFrame) -> DataFrame:
     """Every line that may go: where it stands, its site, and 96 bits of hash."""
-    may_go = F.col("line").rlike(r"(?U)\S") if min_chars is None else F.length("line") >= min_chars
     return rows.select("id", "rid", "site", F.posexplode(_lines("body")).alias("pos", "line")) \
-        .where(may_go) \
+        .where(F.col("line").rlike(r"(?U)\S")) \
         .select("id", "rid", "site", "pos", F.xxhash64("line").alias("h"), F.hash("line").alias("g"))
 
 
-def boilerplate(rows: DataFrame, min_sites: int, min_chars: int | None) -> DataFrame:
+def boilerplate(rows: DataFrame, min_sites: int) -> DataFrame:
     """(h, g, first) of every line that stands on ``min_sites`` sites or more, and its first place."""
-    places = _places(rows, min_chars)
+    places = _places(rows)
     margin = max(1.0, NEAR * min_sites)
     spread = materialise(
         places.groupBy("h", "g").agg(
@@ -55,14 +52,14 @@ def boilerplate(rows: DataFrame, min_sites: int, min_chars: int | None) -> DataF
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
-               min_sites: int = MIN_SITES, min_chars: int | None = MIN_CHARS) -> DataFrame:
+               min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, all columns kept in place."""
     rid = F.xxhash64(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), rid.alias("rid"), F.col(site_col).cast("string").alias("site"),
                        F.col(text_col).alias("body"))
-    common = materialise(boilerplate(rows, min_sites, min_chars), "boilerplate")
+    common = materialise(boilerplate(rows, min_sites), "boilerplate")
     place = F.struct("id", "rid", "pos")
-    drops = _places(rows, min_chars).join(common, ["h", "g"]).where(~place.eqNullSafe(F.col("first"))) \
+    drops = _places(rows).join(common, ["h", "g"]).where(~place.eqNullSafe(F.col("first"))) \
         .groupBy("id", "rid").agg(F.collect_set("pos").alias("drop"))
     lines = _lines(F.col("row")[text_col])
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop")

@@ -23,13 +23,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("key") >= F.lit(cut)).alias("selected"))
 
 
-@query("op3_line_dedup", f"""
+@query("op3_line_dedup", rf"""
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 common AS (
   SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM lines
-  WHERE length(line) >= {line_dedup.MIN_CHARS}
+  WHERE regexp_matches(line, '[^\t-\r \x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]')
   GROUP BY line HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
 marked AS (
   SELECT l.doc_id, l.line, l.pos,

@@ -126,7 +126,8 @@ def test_line_dedup(spark):
     got = line_dedup.line_dedup(docs, min_sites=10)
     assert got.columns == docs.columns
     by = {r["doc_id"]: r["text"] for r in got.collect()}
-    assert by[0] == f"own line number 0\n{short}\n{rare}"  # a null id sorts first and keeps the line
+    assert by[0] == f"own line number 0\n{short}\n{rare}"  # a null id sorts first and keeps the long line
+    assert by[1] == f"own line number 1\n{rare}" and by[2] == "own line number 2\n"  # short lines go, blank ones stay
     assert by[40] == "" and by[41] is None and by[42] == "" and by[None] == common
     assert got.count() == len(rows)
     assert line_dedup.line_dedup(docs, min_sites=11).where(f"text like '%{common}%'").count() == 33
