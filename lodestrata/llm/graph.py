@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodestrata.storage import materialise
+from lodestrata.storage import materialise, release
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -35,7 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
             large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .where(F.col("u") != F.col("v")).distinct(), "edges")
         seal = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-        if now.agg(*seal).first() == then.agg(*seal).first():
+        same = now.agg(*seal).first() == then.agg(*seal).first()
+        release(now)
+        if same:
             break
         now = then
     stars = then.select(F.col("u").alias("node"), F.col("v").alias("component"))

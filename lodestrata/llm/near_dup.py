@@ -7,7 +7,8 @@ links are joined into components.
 
 Hot groups: equal sets are one class before anything is compared, a band's classes are each compared with the band's
 smallest one only, and where a band's classes are still apart, they are compared in blocks of bounded size, of which only
-links that join components come out.
+links that join components come out. Signatures pick the pairs whose sets move; the set of a class is made once, and that of
+a band's smallest class goes once to each block of its partners.
 
 Null and empty texts have an empty set and link with nothing; equal texts always link; a row whose id is null takes no
 part and is kept out of components (component null, not kept); rows that repeat an id are judged by their own text.
@@ -16,16 +17,17 @@ Columns other than the id and the text are not read, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.llm import text as T
 from lodestrata.llm.graph import components
-from lodestrata.storage import materialise
+from lodestrata.storage import materialise, release
 
 SLOTS, BANDS = 240, 40
 SHINGLE, SIMILARITY = 5, 80
@@ -77,7 +79,7 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.n
     return bounds, hashes, sums[:, bounds[1:]] - sums[:, bounds[:-1]]
 
 
-def _sketch(k: int):
+def _sketch(k: int, beside: Sequence[str] = ()):
     per_band = SLOTS // BANDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,35 +99,35 @@ def _sketch(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(size), pa.array(key[0].view(np.int64)),
                      pa.array(key[1].view(np.int64)), pa.compute.if_else(none, None, band),
-                     pa.compute.if_else(none, None, marks)],
-                    ["doc_id", "n_shingles", "k1", "k2", "bands", "marks"])
+                     pa.compute.if_else(none, None, marks), *(part.column(c) for c in beside)],
+                    ["doc_id", "n_shingles", "k1", "k2", "bands", "marks", *beside])
 
     return run
 
 
-def _confirm(k: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, linked = batch.num_rows, []
-            left, right = T.texts_of(batch.column("text_u"))[1], T.texts_of(batch.column("text_v"))[1]
-            first = 0
-            while first < n:
-                size = left + right
-                last = max(first + 1, int(np.searchsorted(size, size[first] + T.SLICE_BYTES, "right")) - 1)
-                part = batch.slice(first, last - first)
-                b1, h1, k1 = shingle_sets(part.column("text_u"), k)
-                b2, h2, k2 = shingle_sets(part.column("text_v"), k)
-                same = (k1[0].view(np.int64) == part.column("key_u").to_numpy()) \
-                    & (k2[0].view(np.int64) == part.column("key_v").to_numpy())
-                for i in range(last - first):
-                    a, b = h1[b1[i]:b1[i + 1]], h2[b2[i]:b2[i + 1]]
-                    if not same[i] or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                        continue
-                    common = len(a) + len(b) - len(np.union1d(a, b))
-                    if 100 * common >= percent * (len(a) + len(b) - common):
-                        linked.append(first + i)
-                first = last
-            yield batch.select(["u", "v"]).take(pa.array(linked, pa.int64()))
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets, each of distinct hashes, share ``percent`` of their union."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures agree in ESTIMATE of the slots or more."""
+    for batch in batches:
+        if batch.num_rows:
+            u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in ("marks_u", "marks_v"))
+            yield batch.select(["u", "v", "n_shingles"]).filter(pa.array((u == v).mean(axis=1) >= ESTIMATE))
+
+
+def _confirm(percent: int):
+    def run(key: tuple, members: pd.DataFrame, leader: pd.DataFrame) -> pd.DataFrame:
+        if leader.empty:
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        own = np.frombuffer(leader["shingles"].iat[0], np.uint64)
+        near = [alike(np.frombuffer(x, np.uint64), own, percent) for x in members["shingles"]]
+        return pd.DataFrame({"u": members["u"][near], "v": key[0]}, dtype="int64")
 
     return run
 
@@ -168,11 +170,7 @@ def _block_links(percent: int):
             near = two[(marks[two] == marks[i]).mean(axis=1) >= ESTIMATE]
             near = near[bands[near, (bands[near] == bands[i]).argmax(axis=1)] == key[0]]
             for j in near[node[near] > node[i]] if key[1] == key[2] else near:
-                a, b = sets[i], sets[j]
-                if top(own[i]) == top(own[j]) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    continue
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                if 100 * common >= percent * (len(a) + len(b) - common):
+                if top(own[i]) != top(own[j]) and alike(sets[i], sets[j], percent):
                     root[top(own[i])] = top(own[j])
                     out.append((node[i], node[j]))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
@@ -180,34 +178,41 @@ def _block_links(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    percent: int = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = materialise(docs.mapInArrow(
-        _sketch(shingle),
-        "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, marks binary"), "sketch")
+SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, marks binary"
+
+
+def _grouped(sketch: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int, percent: int) -> DataFrame:
+    """(k1, k2, component) of every set of the written ``sketch``; ``texts`` gives (doc_id, text) for a table of doc_id."""
     filled = sketch.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
     heads = materialise(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("head")), "heads")
     classes = materialise(
         filled.join(heads, ["k1", "k2"]).where(F.col("doc_id") == F.col("head"))
         .select(F.col("doc_id").alias("u"), "k1", "n_shingles", "bands", "marks"), "classes")
-    banded = classes.select("u", "k1", "n_shingles", F.explode("bands").alias("band"))
+    banded = classes.select("u", "n_shingles", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("last")) \
         .where(F.col("v") < F.col("last")).select("band", "v")
     members = materialise(banded.join(leaders, "band"), "members")
-    keys = classes.select(F.col("u").alias("v"), F.col("k1").alias("key_v"))
-    pairs = materialise(members.where(F.col("u") != F.col("v")).select("u", F.col("k1").alias("key_u"), "v").distinct()
-                        .join(keys, "v"), "pairs")
-    texts = materialise(docs.join(members.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
-
-    def confirmed(candidates: DataFrame) -> DataFrame:
-        for side in ("u", "v"):
-            candidates = candidates.join(
-                texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
-        return candidates.mapInArrow(_confirm(shingle, percent), "u long, v long")
-
-    links = materialise(confirmed(pairs), "links")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """(u, shingles, marks, bands) of the classes named ``doc_id``; rows that share an id are told apart by their key."""
+        return texts(ids).mapInArrow(_sets(shingle), "u long, k1 long, shingles binary") \
+            .join(classes.select("u", "k1", "marks", "bands"), ["u", "k1"]).dropDuplicates(["u"]).drop("k1")
+
+    marks = classes.select("u", "marks")
+    pairs = materialise(
+        members.where(F.col("u") != F.col("v")).select("u", "v", "n_shingles").distinct()
+        .join(marks.withColumnRenamed("marks", "marks_u"), "u").join(marks.toDF("v", "marks_v"), "v")
+        .mapInArrow(_promising, "u long, v long, n_shingles long"), "pairs")
+    sets = materialise(sets_of(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+                       .select("u", "shingles"), "sets")
+    crowds = pairs.groupBy("v").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    against = pairs.join(crowds, "v").select("u", "v", F.pmod(F.xxhash64("u"), "blocks").alias("block"))
+    whole = crowds.select("v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")) \
+        .join(sets.toDF("v", "shingles"), "v")
+    sides = [side.toDF(*side.columns).groupBy("v", "block") for side in (against.join(sets, "u"), whole)]  # toDF: new names
+    links = materialise(sides[0].cogroup(sides[1]).applyInPandas(_confirm(percent), "u long, v long"), "links")
+    release(pairs, sets)
     joined = components(links)
     # Classes of a band that their leader has not brought together: all of them against each other, in blocks.
     labelled = members.select("band", "u", "n_shingles").join(joined, F.col("u") == F.col("node"), "left") \
@@ -222,17 +227,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          lambda o: F.struct(F.least("mine", o).alias("i"), F.greatest("mine", o).alias("j")))
     spread = labelled.join(apart, "band").withColumn("mine", mine) \
         .select("band", "u", "component", "mine", F.explode(others).alias("pair"))
-    sets = texts.join(spread.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi") \
-        .mapInArrow(_sets(shingle), "u long, k1 long, shingles binary").join(
-            classes.select("u", "k1", "marks", "bands"), ["u", "k1"]).drop("k1")
     again = materialise(
         spread.select("band", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "u", "component", "mine")
-        .join(sets, "u").groupBy("band", "i", "j").applyInPandas(_block_links(percent), "u long, v long").distinct(),
-        "more-links")
+        .join(sets_of(spread.select(F.col("u").alias("doc_id")).distinct()), "u")
+        .groupBy("band", "i", "j").applyInPandas(_block_links(percent), "u long, v long").distinct(), "more-links")
     if again.take(1):
         joined = components(joined.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(again))
-    named = heads.join(joined, F.col("head") == F.col("node"), "left") \
+    release(classes, members, links, again)
+    return heads.join(joined, F.col("head") == F.col("node"), "left") \
         .select("k1", "k2", F.coalesce("component", "head").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    percent: int = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    sketch = materialise(docs.mapInArrow(_sketch(shingle), SKETCH), "sketch")
+    named = _grouped(sketch, lambda ids: docs.join(ids, "doc_id", "left_semi"), shingle, percent)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return sketch.select("doc_id", "n_shingles", F.when(F.col("bands").isNotNull(), F.col("k1")).alias("k1"), "k2") \
         .join(named, ["k1", "k2"], "left") \
@@ -240,17 +251,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the place of every row in its files, which stays the same however often they are read.
+
+    Rows that do not come straight from files are written first.
+    """
+    def place(df: DataFrame) -> DataFrame:
+        at = df.metadataColumn("_metadata")
+        return df.select(F.struct("*").alias("row"), F.xxhash64(at["file_path"]).alias("f"), at["row_index"].alias("r"))
+
+    try:
+        return place(docs)
+    except AnalysisException:
+        return place(materialise(docs, "rows"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 percent: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay when one row of each group of near duplicates does: the one with the smallest id.
 
     Rows are judged one by one, whatever their ids: every row gets a number of its own, and groups are made of numbers. A
     row without an id stays unless a row with an id, or another without, stays for its group; equal ids go by the hash of
-    the text. Rows without words are in no group and all stay.
+    the text. Rows without words are in no group and all stay. Only the places of the rows that go are joined back.
     """
-    rows = materialise(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "rows")
-    keys = rows.select("n", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"))
-    groups = near_duplicates(keys, "n", "text", shingle, percent).select(F.col("doc_id").alias("n"), "component_id")
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", F.xxhash64("text").alias("h"), "n")
-    first = keys.join(groups, "n").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.n").alias("n"))
-    return rows.join(first, "n", "left_semi").select("row.*")
+    rows = _placed(docs)
+    text = F.col("row")[text_col]
+    beside = {"f": "long", "r": "long", "id": rows.select(F.col("row")[id_col]).dtypes[0][1], "h": "long"}
+    sketch = materialise(
+        rows.select(F.monotonically_increasing_id().alias("doc_id"), text.alias("text"), "f", "r",
+                    F.col("row")[id_col].alias("id"), F.xxhash64(text).alias("h"))
+        .mapInArrow(_sketch(shingle, list(beside)), SKETCH + "".join(f", {c} {t}" for c, t in beside.items())), "sketch")
+    numbers = sketch.select("doc_id", "f", "r")
+
+    def texts(ids: DataFrame) -> DataFrame:
+        return rows.select("f", "r", text.alias("text")).join(numbers.join(ids, "doc_id", "left_semi"), ["f", "r"]) \
+            .select("doc_id", "text")
+
+    named = _grouped(sketch, texts, shingle, percent)
+    groups = sketch.where("bands is not null").join(named, ["k1", "k2"]) \
+        .select("component", F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "doc_id").alias("order"), "f", "r")
+    first = groups.groupBy("component").agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = materialise(groups.join(first, "component").where("order.doc_id <> first.doc_id").select("f", "r"), "gone")
+    release(sketch)
+    return rows.join(gone, ["f", "r"], "left_anti").select("row.*")
