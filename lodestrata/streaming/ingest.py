@@ -43,9 +43,9 @@ def land_batch(units: DataFrame, rules: Rules, folder: str, processed_at: Column
     return land
 
 
-def drain(stream: DataFrame, land, checkpoint: str) -> None:
+def drain(stream: DataFrame, land, checkpoint: str, mode: str = "append") -> None:
     """Process everything available, then stop."""
-    (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    (stream.writeStream.outputMode(mode).foreachBatch(land).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 

@@ -36,15 +36,19 @@ def tumbling(events: DataFrame, width: str = "10 seconds") -> DataFrame:
 
 
 def tumbling_stream(events: DataFrame, width: str = "10 seconds", lateness: str = "1 minute",
-                    accuracy: int = 1000) -> DataFrame:
-    """The same figures as a streaming aggregation; the quantile is approximate there.
+                    accuracy: int | None = 1000) -> DataFrame:
+    """The same figures as a streaming aggregation; the quantile is approximate there, exact if ``accuracy`` is None.
 
-    Redelivered events are dropped by id within the watermark.
+    Redelivered events are dropped by id within the watermark. A window leaves the state when the watermark has passed its
+    end, so the state holds open windows only, and events that come later than that are not counted. For an exact quantile
+    an open window keeps a count for each of its distinct latencies.
     """
     unique = events.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    tail = (F.percentile("latency_ms", F.lit(0.95)) if accuracy is None
+            else F.percentile_approx("latency_ms", 0.95, accuracy))
     return unique.groupBy(F.window("event_time", width), "parent_name").agg(
         F.count(F.lit(1)).alias("events"), half_up(weighted_rate("passed", "weight"), 2).alias("rate"),
-        F.percentile_approx("latency_ms", 0.95, accuracy).alias("p95_latency_ms")).select(
+        half_up(tail, 1).alias("p95_latency_ms")).select(
         F.col("window.start").alias("window_start"), "parent_name", "events", "rate", "p95_latency_ms")
 
 

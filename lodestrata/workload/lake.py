@@ -61,6 +61,7 @@ class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self._sources: dict[str, DataFrame] = {}
+        self.kept: dict[str, str] = {}  # folders of what several queries read
 
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.functions.numeric import half_up
-from lodestrata.operators import monitor, upsert as keyed
+from lodestrata.operators import monitor, sketches, upsert as keyed
 from lodestrata.plans import marts
 from lodestrata.sources import sinks
-from lodestrata.streaming import ingest, views
+from lodestrata.storage import materialise
+from lodestrata.streaming import ingest, live_alerts, observed, views
 from lodestrata.streaming.ingest import dead_letters
-from lodestrata.workload.lake import EVENT_RULES, Lake, processed_at
-from lodestrata.workload.registry import query
+from lodestrata.workload.lake import DELIVERIES, EVENT_RULES, Lake, processed_at
+from lodestrata.workload.registry import QUERIES, query
 from lodestrata.workload.sqltext import FOCUS, rnd, with_fragments
 
 STREAM = "event_id, event_type, ts_text, unit_id, unit_name, parent_name, region_name, segment, segment_name, score, " \
@@ -98,23 +101,36 @@ def stream_window(lake: Lake) -> DataFrame:
         "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("stream_window_live", "T7", with_fragments(f"{_WINDOWED} FROM stream GROUP BY 1, 2", "stream"))
+def _judged(lake: Lake, folder: str, files: int | None = None) -> DataFrame:
+    stream = ingest.event_stream(lake.spark, folder, files_per_trigger=files)
+    return observed.judged_stream(stream, lake.units, EVENT_RULES, processed_at())
+
+
+@query("stream_window_live", "T7, A12", with_fragments(f"""
+    {_WINDOWED}, {rnd("quantile_cont(latency_ms, 0.95)", 1)} AS p95_latency_ms
+    FROM stream GROUP BY 1, 2""", "stream"))
 def stream_window_live(lake: Lake) -> DataFrame:
-    """The window aggregate as a running stream, in complete mode so that nothing is late."""
-    spark, folder = lake.spark, lake.scratch("windows")
-    source = spark.readStream.schema(ingest.landed_schema()).parquet(lake.landing_folder).where("accepted")
+    """The window aggregate as a running stream in update mode, its windows upserted as they change.
 
-    def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/latest")
+    Events come in three deliveries in order of time, the first of them twice, so the watermark closes windows as it goes
+    and takes repeated ids out.
+    """
+    folder, table = lake.scratch("events-in-time"), lake.scratch("windows")
+    edges = [F.lit(e) for e in lake.source("events").select(F.percentile_approx("ts", [1 / 3, 2 / 3])).first()[0]]
+    third = F.when(F.col("ts") < edges[0], 0).when(F.col("ts") < edges[1], 1).otherwise(2)
+    parts = materialise(lake.raw_events().join(lake.source("events").select(
+        F.concat(F.lit("EV"), F.col("event_id")).alias("event_id"), third.alias("third")), "event_id"), "thirds")
+    for third in (0, 0, 1, 2):
+        sinks.append_json(parts.where(F.col("third") == third).drop("third"), folder, 4)
+        accepted = _judged(lake, folder).where("accepted")
+        live = views.tumbling_stream(accepted, WINDOW, "1 day", accuracy=None).withColumn(
+            "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
-    unique = source.withWatermark("event_time", "1 hour")
-    live = unique.groupBy(F.window("event_time", WINDOW), "parent_name").agg(
-        F.count(F.lit(1)).alias("events"), half_up(views.weighted_rate("passed", "weight"), 2).alias("rate"))
-    (live.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "parent_name", "events",
-                 "rate")
-     .writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", lake.scratch("window-state"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(f"{folder}/latest")
+        def keep(batch: DataFrame, epoch: int) -> None:
+            keyed.upsert(batch.sparkSession, table, batch, ["window_start", "parent_name"], buckets=8)
+
+        ingest.drain(live, keep, f"{table}-checkpoint", "update")
+    return keyed.read_upserted(lake.spark, table)
 
 
 @query("stream_alerts", "T8, T9, J15", with_fragments(f"""
@@ -131,6 +147,53 @@ def stream_alerts(lake: Lake) -> DataFrame:
     return views.alerts(lake.stream(), lake.stream_baseline(), EVENT_RULES)
 
 
+@query("stream_alerts_live", "T8, T9, J15", QUERIES["stream_alerts"].sql)
+def stream_alerts_live(lake: Lake) -> DataFrame:
+    """Alerts from keyed state: three deliveries, then one of them once more, which changes nothing."""
+    folder, table = lake.scratch("event-copy"), lake.scratch("alerts")
+    events, baseline = lake.raw_events(), materialise(lake.stream_baseline(), "baseline")
+    thirds = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i) for i in range(3)]
+    for delivery in (*thirds, thirds[1]):
+        sinks.append_json(delivery, folder, 4)
+        accepted = _judged(lake, folder).where("accepted")
+        ingest.drain(live_alerts.alert_stream(accepted, baseline, EVENT_RULES), live_alerts.keep_alerts(table, 8),
+                     f"{table}-checkpoint", "update")
+    return live_alerts.current_alerts(lake.spark, table).drop("raised")
+
+
+def _metrics(lake: Lake) -> DataFrame:
+    """Rows that three epochs observed about themselves."""
+    if "metrics" not in lake.kept:
+        files = lake.spark.read.format("binaryFile").load(lake.event_folder).select("path").count()
+        folder = lake.scratch("epoch-metrics")
+        with observed.epoch_metrics(lake.spark, folder):
+            ingest.drain(_judged(lake, lake.event_folder, ceil(files / DELIVERIES)),
+                         observed.land_judged(lake.scratch("landing-observed")), lake.scratch("checkpoint"))
+        lake.kept["metrics"] = folder
+    return observed.stored_metrics(lake.spark, lake.kept["metrics"])
+
+
+@query("observed_outcome", "T5, M1", QUERIES["stream_outcome"].sql)
+def observed_outcome(lake: Lake) -> DataFrame:
+    return observed.outcome(_metrics(lake))
+
+
+@query("observed_alarm", "T12, M1", QUERIES["stream_alarm"].sql)
+def observed_alarm(lake: Lake) -> DataFrame:
+    return observed.dead_letter_alarm(_metrics(lake), EVENT_RULES)
+
+
+@query("observed_health", "T11, A14, M1", with_fragments(f"""
+    SELECT COUNT(*) AS events, {rnd("AVG(latency_ms)", 1)} AS mean_latency_ms, MIN(ts_text) AS first_event,
+           MAX(ts_text) AS last_event, TRUE AS tail_close FROM stream""", "stream"))
+def observed_health(lake: Lake) -> DataFrame:
+    """Health from the observed rows; ``tail_close``: the exact rank of the sketched tail is within three rank errors."""
+    found = materialise(observed.health(_metrics(lake)), "observed-health")
+    ranked = sketches.rank_of(lake.stream(), found, [], "latency_ms", "p95_latency_ms")
+    return ranked.select("events", "mean_latency_ms", "first_event", "last_event",
+                         sketches.rank_within(0.95, 3 * sketches.rank_error()).alias("tail_close"))
+
+
 @query("mart_stream", "G8", with_fragments(f"""
     SELECT unit_id, unit_name, parent_name, region_name, segment_name, COUNT(*) AS events,
            {rnd("100.0 * COUNT(*) FILTER (passed) / COUNT(*)", 2)} AS stream_rate,
