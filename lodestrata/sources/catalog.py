@@ -16,11 +16,16 @@ def ensure_schemas(spark: SparkSession, names: Sequence[str]) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
-def recreate_table(spark: SparkSession, table: str, schema: StructType) -> None:
-    """Drop and create an empty typed table."""
+def recreate_table(spark: SparkSession, table: str, schema: StructType, path: str | None = None,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Drop and create a typed table: an empty one, or one over the files that stand at ``path``."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts}{place}")
+    if path and partition_by:
+        spark.catalog.recoverPartitions(table)
 
 
 def bind_views(spark: SparkSession, targets: Mapping[str, str]) -> tuple[set[str], set[str]]:

@@ -253,6 +253,26 @@ def stream_upsert_evolving(lake: Lake) -> DataFrame:
     return keyed.read_upserted(lake.spark, path)
 
 
+@query("stream_upsert_keys", "T10, S13", """
+    SELECT place, CAST(user_id AS DOUBLE) AS user_id, event_type, event_id FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS nth FROM events),
+        (VALUES ('files'), ('table')) p(place)
+    WHERE nth = 1""")
+def stream_upsert_keys(lake: Lake) -> DataFrame:
+    """An int key, then a bigint and a double one, every delivery made twice, into files and into a catalog table."""
+    events = lake.source("events").select("user_id", "event_type", "event_id")
+    third = events.agg(F.max("event_id")).first()[0] // 3 + 1
+    path, table_path, table = lake.scratch("upserted-keys"), lake.scratch("upserted-table"), "upserted_" + lake.scratch("t")[-12:]
+    keys, order = ["user_id", "event_type"], [F.col("event_id").desc()]
+    for i, kind in enumerate(("int", "bigint", "double")):
+        delivery = events.where(F.floor(F.col("event_id") / third) == i).withColumn("user_id", F.col("user_id").cast(kind))
+        for _ in range(2):
+            keyed.upsert(lake.spark, path, delivery, keys, order, 4)
+            keyed.upsert_table(lake.spark, table, table_path, delivery, keys, order, 4)
+    return keyed.read_upserted(lake.spark, path).withColumn("place", F.lit("files")).unionByName(
+        keyed.read_upserted_table(lake.spark, table).withColumn("place", F.lit("table")))
+
+
 # Monitoring over step runs that the events describe: one step run per day, user group and event type.
 
 def step_runs(lake: Lake) -> DataFrame:
