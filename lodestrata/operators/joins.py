@@ -26,8 +26,13 @@ def orphan_keys(df: DataFrame, column: str, reference: DataFrame, ref_column: st
     used = (df.where(F.col(column).isNotNull())
             .groupBy(F.col(column).cast("string").alias("key"))
             .agg(F.count(F.lit(1)).alias("rows")))
+    return unreferenced(used, reference, ref_column)
+
+
+def unreferenced(counts: DataFrame, reference: DataFrame, ref_column: str) -> DataFrame:
+    """Rows of ``counts`` whose text ``key`` the reference lacks."""
     known = reference.select(F.col(ref_column).cast("string").alias("key")).distinct()
-    return used.join(known, "key", "left_anti")
+    return counts.join(known, "key", "left_anti")
 
 
 def rows_with_match(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from lodestrata.sources.sinks import append_path
 STEP_SCHEMA = ("run_id string, pipeline string, step string, layer string, started timestamp, "
                "seconds double, rows_in bigint, rows_out bigint, rows_rejected bigint, "
                "status string, note string")
-ALERT_SCHEMA = "run_id string, pipeline string, at timestamp, severity string, message string"
+ALERT_SCHEMA = "run_id string, pipeline string, at timestamp, severity string, subject string, message string"
 OK, FAILED = "OK", "FAILED"
 # A count reaches the driver with the end of its write; one that has not come by then belongs to no finished write.
 SETTLE_SECONDS = 20.0
@@ -77,8 +77,8 @@ class Step:
         if error is None:
             self.settle()
         else:
-            self.status, self.note = FAILED, f"{error} ({kind.__name__})"
-            self.monitor.alert("HIGH", f"step {self.name} failed: {self.note}")
+            self.status, self.note = FAILED, str(error) or kind.__name__
+            self.monitor.alert("HIGH", self.note, self.name)
         self.seconds = round(time.monotonic() - self._clock, 3)
         self.monitor.steps.append({
             "step": self.name, "layer": self.layer, "started": self.started, "seconds": self.seconds,
@@ -103,9 +103,9 @@ class Monitor:
     def step(self, name: str, layer: str = "-") -> Step:
         return Step(self, name, layer)
 
-    def alert(self, severity: str, message: str) -> None:
-        """Note an alert; nothing stops."""
-        self.alerts.append({"at": utc_now(), "severity": severity, "message": message})
+    def alert(self, severity: str, message: str, subject: str | None = None) -> None:
+        """Note an alert about a step, a check or nothing in particular; the run goes on."""
+        self.alerts.append({"at": utc_now(), "severity": severity, "subject": subject, "message": message})
 
     def flush(self) -> None:
         """Append what was collected and start empty, so a second call adds nothing."""

@@ -8,26 +8,36 @@ never crosses it as more than one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
-from lodestrata.operators.joins import orphan_keys
+from lodestrata.operators.joins import unreferenced
 
 ERROR, WARNING = "ERROR", "WARNING"
 REPORT_COLUMNS = ("check_no", "table", "layer", "check", "column", "status", "severity", "detail")
 
 
 class QualityGateError(Exception):
-    """A gate stayed shut; ``failures`` holds one line per check that was not met."""
+    """A gate stayed shut; ``failures`` holds the report rows of the checks that were not met."""
 
-    def __init__(self, reason: str, failures: Sequence[str] = ()):
-        super().__init__("\n- ".join([reason, *failures]))
+    def __init__(self, reason: str, failures: Sequence[Row] = ()):
+        tables = sorted({row.table for row in failures})
+        super().__init__(f"{reason} (tables: {', '.join(tables)})" if tables else reason)
         self.failures = list(failures)
 
 
+@dataclass(frozen=True)
+class KeyCounts:
+    """How a rule that looks at keys is counted in parts: ``of`` counts the rows of each key in some part of the table,
+    counts of a key (column ``rows``) add up over parts, and ``judged`` gives the frame the rule's aggregates run over."""
+
+    of: Callable[[DataFrame], DataFrame]
+    judged: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class _Rule:
     """One check; ``passed`` and ``detail`` are SQL over the named aggregates in ``measures``."""
@@ -39,8 +49,8 @@ class _Rule:
     measures: dict[str, str]
     passed: str
     detail: str
-    # Frame the aggregates run over when it is not the table itself.
-    frame: DataFrame | None = None
+    # Set where the aggregates run over keys and not over the rows of the table.
+    keys: KeyCounts | None = None
 
 
 def text(value: str) -> str:
@@ -60,18 +70,18 @@ class Suite:
         self.rules: list[_Rule] = []
 
     def _add(self, check: str, column: str, severity: str, measures: dict[str, str], passed: str, detail: str,
-             frame: DataFrame | None = None) -> Suite:
-        self.rules.append(_Rule(len(self.rules), check, column, severity, measures, passed, detail, frame))
+             keys: KeyCounts | None = None) -> Suite:
+        self.rules.append(_Rule(len(self.rules), check, column, severity, measures, passed, detail, keys))
         return self
 
     def _name(self, suffix: str = "") -> str:
         return f"m{len(self.rules)}{suffix}"
 
     def _zero(self, check: str, column: str, severity: str, count: str, noun: str,
-              frame: DataFrame | None = None) -> Suite:
+              keys: KeyCounts | None = None) -> Suite:
         """A rule that holds when ``count`` is zero."""
         n = self._name()
-        return self._add(check, column, severity, {n: count}, f"{n} = 0", f"concat({n}, {text(' ' + noun)})", frame)
+        return self._add(check, column, severity, {n: count}, f"{n} = 0", f"concat({n}, {text(' ' + noun)})", keys)
 
     def min_rows(self, minimum: int, severity: str = ERROR) -> Suite:
         n = self._name()
@@ -90,8 +100,9 @@ class Suite:
         return self._distinct("unique_grain", list(columns), severity)
 
     def _distinct(self, check: str, columns: list[str], severity: str) -> Suite:
-        per_key = self.df.groupBy(*columns).agg(F.expr("count(1) as _rows"))
-        return self._zero(check, ", ".join(columns), severity, "coalesce(sum(_rows), 0) - count(1)", "duplicates",
+        named = [F.col(c).alias(f"key_{i}") for i, c in enumerate(columns)]
+        per_key = KeyCounts(lambda df: df.groupBy(*named).agg(F.count(F.lit(1)).alias("rows")), lambda counts: counts)
+        return self._zero(check, ", ".join(columns), severity, "coalesce(sum(rows), 0) - count(1)", "duplicates",
                           per_key)
 
     def in_range(self, column: str, low: float, high: float, severity: str = ERROR) -> Suite:
@@ -106,22 +117,25 @@ class Suite:
 
     def exists_in(self, column: str, reference: DataFrame, ref_column: str | None = None,
                   severity: str = ERROR) -> Suite:
-        return self._zero("reference", column, severity, "coalesce(sum(rows), 0)", "rows without a match",
-                          orphan_keys(self.df, column, reference, ref_column or column))
+        # Keys are compared as text.
+        used = KeyCounts(lambda df: df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("key"))
+                         .agg(F.count(F.lit(1)).alias("rows")),
+                         lambda counts: unreferenced(counts, reference, ref_column or column))
+        return self._zero("reference", column, severity, "coalesce(sum(rows), 0)", "rows without a match", used)
 
     def agrees_with(self, other: DataFrame, keys: Sequence[str], column: str, other_column: str | None = None,
                     tolerance: float = 0.01, max_share: float = 0.01, severity: str = ERROR) -> Suite:
         """Same measure in two tables; only pairs with both values are compared."""
         # Equal values of a key are counted before the join, so a hot key does not multiply its rows.
-        ours = self.df.select(*keys, F.col(column).alias("_a")).where("_a is not null") \
-            .groupBy(*keys, "_a").agg(F.count(F.lit(1)).alias("_n"))
         theirs = other.select(*keys, F.col(other_column or column).alias("_b")).where("_b is not null") \
             .groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"))
-        pairs = ours.join(theirs, list(keys))
+        pairs = KeyCounts(lambda df: df.select(*keys, F.col(column).alias("_a")).where("_a is not null")
+                          .groupBy(*keys, "_a").agg(F.count(F.lit(1)).alias("rows")),
+                          lambda counts: counts.join(theirs, list(keys)))
         far, seen = self._name("_far"), self._name("_seen")
         return self._add(
             "agreement", column, severity,
-            {far: f"coalesce(sum(if(abs(_a - _b) > {tolerance}, _n * _m, 0)), 0)", seen: "coalesce(sum(_n * _m), 0)"},
+            {far: f"coalesce(sum(if(abs(_a - _b) > {tolerance}, rows * _m, 0)), 0)", seen: "coalesce(sum(rows * _m), 0)"},
             f"{seen} > 0 and {far} <= {seen} * {max_share}",
             f"if({seen} = 0, 'no common rows to compare', concat({far}, ' of ', {seen}, ' differ'))", pairs)
 
@@ -136,16 +150,26 @@ class Suite:
                   f"if({rule.passed}, 'PASS', '{missed}')", text(rule.severity), rule.detail)
         return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(REPORT_COLUMNS, values, strict=True)) + ")"
 
+    def row_rules(self) -> list[_Rule]:
+        """Rules whose aggregates run over the rows of the table; all of them are counts, which add up over its parts."""
+        return [r for r in self.rules if r.keys is None]
+
+    def key_rules(self) -> list[_Rule]:
+        return [r for r in self.rules if r.keys is not None]
+
+    def measured(self, rules: Sequence[_Rule], frame: DataFrame) -> DataFrame:
+        """The aggregates of ``rules`` over ``frame``, in one row."""
+        return frame.agg(*[F.expr(f"{sql} as {n}") for r in rules for n, sql in r.measures.items()])
+
+    def judged(self, rules: Sequence[_Rule], measures: DataFrame) -> DataFrame:
+        """Report rows of ``rules`` from their aggregates."""
+        return measures.selectExpr(f"inline(array({', '.join(self._entry(r) for r in rules)}))")
+
     def report(self) -> DataFrame:
         """One row per rule, in the order the rules were given (``check_no``)."""
-        fused = [r for r in self.rules if r.frame is None]
-        groups = ([(self.df, fused)] if fused else []) + [(r.frame, [r]) for r in self.rules if r.frame is not None]
-        parts = []
-        for frame, rules in groups:
-            measures = [F.expr(f"{sql} as {n}") for r in rules for n, sql in r.measures.items()]
-            entries = ", ".join(self._entry(r) for r in rules)
-            parts.append(frame.agg(*measures).selectExpr(f"inline(array({entries}))"))
-        return reduce(DataFrame.unionByName, parts)
+        rows = self.row_rules()
+        groups = ([(self.df, rows)] if rows else []) + [(r.keys.judged(r.keys.of(self.df)), [r]) for r in self.key_rules()]
+        return reduce(DataFrame.unionByName, [self.judged(rules, self.measured(rules, frame)) for frame, rules in groups])
 
 
 def consolidated(suites: Sequence[Suite]) -> DataFrame:
@@ -160,17 +184,16 @@ def tally(report: DataFrame) -> DataFrame:
 
 
 def enforce(report: DataFrame, on_warning=None) -> list:
-    """Run the checks once; raise if an ERROR rule failed, naming all of them.
+    """Run the checks once; raise if an ERROR rule failed, with the rows of all that did.
 
-    ``on_warning(message)`` receives every WARN row.  Returns the report rows, whose
+    ``on_warning(row)`` receives every WARN row.  Returns the report rows, whose
     number is the number of rules.
     """
     rows = report.orderBy("table", "check_no").collect()
-    for row in rows:
-        if row.status == "WARN" and on_warning:
-            on_warning(f"{row.table}.{row.check} -> {row.detail}")
-    failed = [r for r in rows if r.status == "FAIL"]
-    if failed:
-        raise QualityGateError(f"{len(failed)} checks of {len(rows)} keep the gate shut:",
-                               [f"{r.table}.{r.check}:{r.column} -> {r.detail}" for r in failed])
+    by_status = {status: [r for r in rows if r.status == status] for status in ("WARN", "FAIL")}
+    if on_warning:
+        for row in by_status["WARN"]:
+            on_warning(row)
+    if by_status["FAIL"]:
+        raise QualityGateError(f"{len(by_status['FAIL'])} of {len(rows)} checks not met", by_status["FAIL"])
     return rows

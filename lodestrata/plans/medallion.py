@@ -71,7 +71,7 @@ class Medallion:
         with self.monitor.step("gate", "bronze") as step:
             rows = enforce(consolidated(suites.raw_suites(
                 tables, self.rules, ["cycle", "person_id"], self.minimum,
-                ["cycle", "unit_id", "grade", "segment"])), lambda m: self.monitor.alert("MEDIUM", m))
+                ["cycle", "unit_id", "grade", "segment"])), lambda r: self.monitor.alert("MEDIUM", r.detail, f"{r.table} {r.check}"))
             step.record(rows_in=len(rows), rows_out=sum(r.status == "PASS" for r in rows), rows_rejected=0)
         return len(rows)
 

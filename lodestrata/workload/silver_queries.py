@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from lodestrata.functions.labels import crosswalk, decode
 from lodestrata.functions.numeric import half_up, safe_ratio
 from lodestrata.operators import joins, quality
+from lodestrata.operators.check_states import CheckStates
 from lodestrata.operators.extremes import top
 from lodestrata.operators.quality import Suite
 from lodestrata.operators.reshape import columns_with_prefix, wide_to_long
 from lodestrata.plans import reconcile, silver, suites
 from lodestrata.workload.lake import RULES, Lake
-from lodestrata.workload.registry import query
+from lodestrata.workload.registry import QUERIES, query
 from lodestrata.workload.sqltext import FOCUS, big, rnd, with_fragments
 
 FACT_COLUMNS = ("cycle", "unit_id", "segment", "segment_name", "rate", "mean_score", "unit_name", "parent_id",
@@ -336,12 +337,29 @@ def q_raw_suite(lake: Lake) -> DataFrame:
     return quality.consolidated(raw_suites(lake))
 
 
-def raw_suites(lake: Lake) -> list[Suite]:
-    return suites.raw_suites({
+PARTS = 2
+
+
+@query("q_raw_in_parts", "Q12, Q1-Q11", QUERIES["q_raw_suite"].sql)
+def q_raw_in_parts(lake: Lake) -> DataFrame:
+    """The same report after every table arrived in two parts, one part of the first table twice."""
+    states = CheckStates(lake.spark, lake.scratch("check-states"))
+    for part in range(PARTS):
+        for suite in raw_suites(lake, part):
+            states.count(suite, str(part))
+    states.count(raw_suites(lake, 0)[0], "0")
+    return states.consolidated(raw_suites(lake))
+
+
+def raw_suites(lake: Lake, part: int | None = None) -> list[Suite]:
+    tables = {
         "unit_indicator": lake.raw_indicator(), "parent_indicator": lake.raw_parent_indicator(),
         "national_targets": lake.national(), "parent_targets": lake.raw_parent_targets(),
         "unit_targets": lake.raw_unit_targets(), "parents": lake.raw_parents(), "units": lake.raw_units(),
-        "records": lake.raw_records()}, RULES, ["order_id", "line_no"],
+        "records": lake.raw_records()}
+    if part is not None:
+        tables = {name: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)) == part) for name, df in tables.items()}
+    return suites.raw_suites(tables, RULES, ["order_id", "line_no"],
         {"unit_indicator": 100, "parent_indicator": 100, "national_targets": 1, "parent_targets": 20,
          "unit_targets": 50, "parents": 25, "units": 10, "records": 1000})
 
@@ -381,19 +399,22 @@ def q_report(lake: Lake) -> DataFrame:
 
 
 @query("q_gate", "Q11, M2", with_fragments(f"""
-    SELECT 'alert' AS kind, r."table" || '.' || r."check" || ' -> ' || r.detail AS line FROM ({_RAW_SUITE}) r
-    WHERE r.status = 'WARN' UNION ALL
-    SELECT 'stop', r."table" || '.' || r."check" || ':' || r."column" || ' -> ' || r.detail FROM ({_RAW_SUITE}) r
-    WHERE r.status = 'FAIL'""", "raw_indicator", "parent_sums", "national", "raw_parent_targets", "raw_unit_targets",
+    SELECT CASE r.status WHEN 'WARN' THEN 'alert' ELSE 'stop' END AS kind, r."table", r."check", r."column", r.detail
+    FROM ({_RAW_SUITE}) r WHERE r.status <> 'PASS'""", "raw_indicator", "parent_sums", "national", "raw_parent_targets", "raw_unit_targets",
                                             "raw_records"))
 def q_gate(lake: Lake) -> DataFrame:
     """The gate over the raw tables: every alert it gives and every check its stop names."""
-    lines: list[tuple[str, str]] = []
+    found: list[tuple] = []
+
+    def note(kind: str, row) -> None:
+        found.append((kind, row.table, row.check, row.column, row.detail))
+
     try:
-        quality.enforce(quality.consolidated(raw_suites(lake)), lambda message: lines.append(("alert", message)))
+        quality.enforce(quality.consolidated(raw_suites(lake)), lambda row: note("alert", row))
     except quality.QualityGateError as stop:
-        lines += [("stop", line) for line in stop.failures]
-    return lake.spark.createDataFrame(lines, "kind string, line string")
+        for row in stop.failures:
+            note("stop", row)
+    return lake.spark.createDataFrame(found, "kind string, table string, check string, column string, detail string")
 
 
 @query("semi_anti", "J12, J13", """

@@ -108,9 +108,10 @@ def test_gate(spark):
     df = spark.createDataFrame([(1,)], "k int")
     warnings = []
     assert len(quality.enforce(Suite("t", df).min_rows(1).has_cycle("k", 5).report(), warnings.append)) == 2
-    assert warnings == ["t.freshness -> cycle 5 absent"]
-    with pytest.raises(QualityGateError, match="2 check"):
+    assert [(w.table, w.check, w.detail) for w in warnings] == [("t", "freshness", "cycle 5 absent")]
+    with pytest.raises(QualityGateError, match="2 of 2 checks not met") as stop:
         quality.enforce(quality.consolidated([Suite("a", df).min_rows(2), Suite("b", df).in_range("k", 3, 4)]))
+    assert [(r.table, r.check, r.column) for r in stop.value.failures] == [("a", "row_count", "-"), ("b", "range", "k")]
     tally = {r.status: r.checks for r in quality.tally(Suite("t", df).min_rows(1).min_rows(5).report()).collect()}
     assert tally == {"PASS": 1, "WARN": 0, "FAIL": 1}
 
