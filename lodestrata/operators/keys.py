@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lodestrata.operators.bottom import bottom_n, text_draw, weighted_draw
 from lodestrata.operators.positions import WINDOW_ROWS, decide_by_position
 
 HEADS = 16 ** 4
@@ -43,18 +44,22 @@ def sample_per_group(df: DataFrame, group: Sequence[str], key: Sequence[str], si
                      seed: int | str = 42) -> DataFrame:
     """Up to ``size`` rows of each group, in seeded random order.
 
-    Small samples are cut within each map task by Spark itself; larger ones are cut
-    within salted sub-groups first, so no task ever sorts a whole hot group.
+    Small samples are cut within each map task by Spark itself; for larger ones the
+    boundary is found by counting, so no task ever sorts a group.
     """
-    drawn = df.withColumn("_draw", seeded_order(key, seed))
-    parts = [list(group)]
+    order = seeded_order(key, seed)
     if size > GROUP_LIMIT:
-        drawn = drawn.withColumn("_salt", F.substring("_draw", 1, 2))
-        parts.insert(0, [*group, "_salt"])
-    for part in parts:
-        window = Window.partitionBy(*part).orderBy("_draw", *df.columns)
-        drawn = drawn.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") <= size)
-    return drawn.select(*df.columns)
+        return bottom_n(df, group, size, text_draw(order), [order])
+    window = Window.partitionBy(*group).orderBy("_draw", *df.columns)
+    nth = df.withColumn("_draw", order).withColumn("_nth", F.row_number().over(window))
+    return nth.where(F.col("_nth") <= size).select(*df.columns)
+
+
+def weighted_sample(df: DataFrame, group: Sequence[str], key: Sequence[str], weight: str, size: int,
+                    seed: int | str = 42) -> DataFrame:
+    """Up to ``size`` rows of each group, drawn without replacement with chances by ``weight``; only weights above 0 count."""
+    order = seeded_order(key, seed)
+    return bottom_n(df, group, size, weighted_draw(order, F.col(weight)), [order])
 
 
 def stratified_split(df: DataFrame, stratum: str, key: Sequence[str], test_share: float = 0.2,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -55,6 +56,59 @@ def parse_and_flatten(df: DataFrame, column: str, schema: StructType | str) -> D
     return flatten(parsed)
 
 
+def _is_object(column: str) -> Column:
+    return F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT<")
+
+
+def variant_schema(df: DataFrame, column: str) -> str | None:
+    """Schema of all JSON objects of a column together, found in one aggregate; nothing if there is none with a field."""
+    found = df.where(_is_object(column)).agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+    if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return None
+    return re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", found))
+
+
+def _spread(schema: StructType, base: Column, prefix: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], Column]]:
+    found = []
+    for field in schema.fields:
+        here, value = (*prefix, field.name), base.getField(field.name)
+        found += _spread(field.dataType, value, here) if isinstance(field.dataType, StructType) else [(here, value)]
+    return found
+
+
+def flatten_json(df: DataFrame, column: str, explode: str | None = None, separator: str = "_") -> DataFrame:
+    """JSON texts of unknown layout as a table: the other columns, then one per path, objects of any depth spread.
+
+    ``explode`` names the path of one array (joined by ``separator``); it becomes rows, an element's fields columns below
+    the path, its place ``<path>_at``, and a text with an empty or no array keeps one row. Other arrays stay arrays. A field
+    that has several types in the texts takes the type that holds them all, in the end a variant. Texts that are no JSON
+    objects, and missing fields, give nulls. Where two paths join to one name, whatever the case, later ones in the order
+    of the schema get ``_2``, ``_3`` and so on; columns beside ``column`` come first and keep their names.
+    """
+    rest, layout = [c for c in df.columns if c != column], variant_schema(df, column)
+    if layout is None:
+        return df.select(*rest)
+    rows = df.select(*rest, F.when(_is_object(column), F.try_variant_get(F.try_parse_json(column), "$", layout)).alias("_json"))
+    leaves = _spread(rows.schema["_json"].dataType, F.col("_json"))
+    if explode is not None:
+        path, array = next((p, c) for p, c in leaves if separator.join(p) == explode)
+        rows = rows.select("*", F.posexplode_outer(array).alias("_at", "_element"))
+        kind = rows.schema["_element"].dataType
+        inner = _spread(kind, F.col("_element"), path) if isinstance(kind, StructType) else [(path, F.col("_element"))]
+        place = leaves.index(next(x for x in leaves if x[0] == path))
+        leaves[place:place + 1] = [((*path, "at"), F.col("_at")), *inner]
+    taken, columns = {c.lower() for c in rest}, [F.col(c) for c in rest]
+    for path, value in leaves:
+        name = plain = separator.join(path)
+        number = 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{plain}_{number}"
+        taken.add(name.lower())
+        columns.append(value.alias(name))
+    return rows.select(*columns)
+
+
 @dataclass(frozen=True)
 class Source:
     """One place a dataset can be read from."""

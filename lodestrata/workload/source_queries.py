@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from lodestrata.functions.casts import decimals_to_double
 from lodestrata.functions.numeric import half_up
 from lodestrata.functions.times import in_years
+from lodestrata.operators import keys
 from lodestrata.operators.monitor import Monitor
 from lodestrata.plans.marts import MartSpec, build_marts
 from lodestrata.sources import catalog, extract, footers, lineage, readers, sinks
@@ -138,6 +139,33 @@ def json_flatten(lake: Lake) -> DataFrame:
                                      "struct<k int>")
 
 
+@query("json_unknown_layout", "S3", """
+    SELECT o_orderkey AS order_key, o_totalprice AS order_total, c_name AS order_buyer_name, n_name AS order_buyer_home_nation,
+           CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS order_status,
+           CAST(nth - 1 AS INTEGER) AS order_lines_at, l_partkey AS order_lines_part, l_quantity AS order_lines_quantity
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity)
+               AS nth FROM lineitem) ON l_orderkey = o_orderkey""")
+def json_unknown_layout(lake: Lake) -> DataFrame:
+    """Orders as JSON files three objects deep with an array of lines, read without a schema and spread into rows."""
+    lines = lake.source("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_quantity"))).alias("lines"))
+    orders, customer, nation = (lake.source(t) for t in ("orders", "customer", "nation"))
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    home = F.struct(F.col("n_name").alias("nation"))
+    order = F.struct(
+        F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("total"),
+        F.struct(F.col("c_name").alias("name"), home.alias("home")).alias("buyer"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("status"),
+        F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("part"), x["l_quantity"].alias("quantity"))).alias("lines"))
+    path = lake.scratch("orders-json")
+    joined.select(F.to_json(F.struct(order.alias("order"))).alias("value")).write.text(path)
+    flat = readers.flatten_json(lake.spark.read.text(path), "value", explode="order_lines")
+    kinds = {"order_key": "bigint", "order_total": "double", "order_lines_part": "bigint", "order_lines_quantity": "double"}
+    return flat.withColumns({c: F.col(c).cast(t) for c, t in kinds.items()})
+
+
 @query("extract_normalise", "S19, S21, F23, F24, P4", """
     SELECT record_id, CASE WHEN record_id % 50 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS cycle, unit_id,
            CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 END AS segment,
@@ -185,6 +213,29 @@ def sampled(lake: Lake) -> DataFrame:
         [1996, 1998, 2000], 5, ["ship_year", "l_returnflag", "l_linestatus"], ["l_orderkey", "l_linenumber"])
 
 
+_LINE_DRAW = "md5(l_orderkey || '|' || l_linenumber || '|' || '42')"
+
+
+@query("sample_large", "W2", f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY {_LINE_DRAW}, l_orderkey, l_linenumber, l_partkey) AS nth
+        FROM lineitem) WHERE nth <= 5000""")
+def sample_large(lake: Lake) -> DataFrame:
+    lines = lake.source("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return keys.sample_per_group(lines, ["l_returnflag"], ["l_orderkey", "l_linenumber"], 5000)
+
+
+@query("sample_weighted", "W2", f"""
+    SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY floor((ln(-ln(
+            (CAST(CAST('0x' || substr({_LINE_DRAW}, 1, 15) AS BIGINT) AS DOUBLE) + 0.5) / 1152921504606846976)) - ln(l_quantity) + 512)
+            * 1125899906842624), {_LINE_DRAW}, l_orderkey, l_linenumber) AS nth
+        FROM lineitem WHERE l_quantity > 0) WHERE nth <= 2000""")
+def sample_weighted(lake: Lake) -> DataFrame:
+    lines = lake.source("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    return keys.weighted_sample(lines, ["l_returnflag"], ["l_orderkey", "l_linenumber"], "l_quantity", 2000)
+
+
 @query("code_dictionary", "S20, O2, F2", """
     SELECT DISTINCT substr(o_orderpriority, 1, 1) AS code, lower(substr(o_orderpriority, 3)) AS label FROM orders""")
 def dictionary(lake: Lake) -> DataFrame:
