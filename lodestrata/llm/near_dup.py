@@ -125,8 +125,8 @@ def _confirm(percent: int):
     def run(key: tuple, members: pd.DataFrame, leader: pd.DataFrame) -> pd.DataFrame:
         if leader.empty:
             return pd.DataFrame({"u": [], "v": []}, dtype="int64")
-        own = np.frombuffer(leader["shingles"].iat[0], np.uint64)
-        near = [alike(np.frombuffer(x, np.uint64), own, percent) for x in members["shingles"]]
+        own = [np.frombuffer(x, np.uint64) for x in leader["shingles"]]  # of an id with several texts, several
+        near = [any(alike(np.frombuffer(x, np.uint64), o, percent) for o in own) for x in members["shingles"]]
         return pd.DataFrame({"u": members["u"][near], "v": key[0]}, dtype="int64")
 
     return run
@@ -196,13 +196,13 @@ def _grouped(sketch: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle
     def sets_of(ids: DataFrame) -> DataFrame:
         """(u, shingles, marks, bands) of the classes named ``doc_id``; rows that share an id are told apart by their key."""
         return texts(ids).mapInArrow(_sets(shingle), "u long, k1 long, shingles binary") \
-            .join(classes.select("u", "k1", "marks", "bands"), ["u", "k1"]).dropDuplicates(["u"]).drop("k1")
+            .join(classes.select("u", "k1", "marks", "bands"), ["u", "k1"]).dropDuplicates(["u", "k1"]).drop("k1")
 
     marks = classes.select("u", "marks")
     pairs = materialise(
         members.where(F.col("u") != F.col("v")).select("u", "v", "n_shingles").distinct()
         .join(marks.withColumnRenamed("marks", "marks_u"), "u").join(marks.toDF("v", "marks_v"), "v")
-        .mapInArrow(_promising, "u long, v long, n_shingles long"), "pairs")
+        .mapInArrow(_promising, "u long, v long, n_shingles long").distinct(), "pairs")
     sets = materialise(sets_of(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
                        .select("u", "shingles"), "sets")
     crowds = pairs.groupBy("v").agg(F.ceil(F.greatest(
