@@ -62,7 +62,12 @@ def landed(spark: SparkSession, folder: str, schema: StructType = EVENT_SCHEMA)
     Events without an id are told apart by their content: all rows of the first stream that brought it count.
     """
     everything = spark.read.schema(landed_schema(schema)).parquet(folder)
-    named = one_per_key(everything.where("event_id is not null"), ["event_id"], [F.col("stream"), F.col("epoch")])
+    # Ids alone show which events came more than once; only the rows of those are put in order.
+    repeated = everything.where("event_id is not null").groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")) \
+        .where("_n > 1").select("event_id")
+    single = everything.where("event_id is not null").join(repeated, "event_id", "left_anti")
+    again = everything.join(repeated, "event_id", "left_semi")
+    named = single.unionByName(one_per_key(again, ["event_id"], [F.col("stream"), F.col("epoch")]))
     nameless = everything.where("event_id is null").withColumn("_content", record_hash(schema.fieldNames()))
     first = nameless.groupBy("_content").agg(F.min("stream").alias("stream"))
     return named.unionByName(nameless.join(first, ["_content", "stream"], "left_semi").drop("_content")).drop("stream")
