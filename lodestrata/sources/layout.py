@@ -7,7 +7,8 @@ after a sort, all values of every column but the first. The sample decides only
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -96,3 +97,18 @@ def files_touched(df: DataFrame, condition: Column | str) -> DataFrame:
     path = df.metadataColumn("_metadata")["file_path"]
     return df.select("*", path.alias("_file")).where(condition).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("_file").alias("files"))
+
+
+def scan_bytes(df: DataFrame, conditions: Mapping[str, Column | str | None]) -> DataFrame:
+    """Files that each condition on partition columns reads, and their bytes; a condition of None reads all.
+
+    One Spark aggregate over the distinct files per condition, of a frame read from files; partitions are pruned before.
+    """
+    at = df.metadataColumn("_metadata")
+    parts = []
+    for name, condition in conditions.items():
+        rows = df if condition is None else df.where(condition)
+        files = rows.select(at["file_path"].alias("path"), at["file_size"].alias("bytes")).distinct()
+        parts.append(files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+                     .select(F.lit(name).alias("strategy"), "files", "bytes"))
+    return reduce(DataFrame.unionAll, parts)

@@ -12,7 +12,7 @@ from lodestrata.functions.times import in_years
 from lodestrata.operators import keys
 from lodestrata.operators.monitor import Monitor
 from lodestrata.plans.marts import MartSpec, build_marts
-from lodestrata.sources import catalog, extract, footers, lineage, readers, sinks
+from lodestrata.sources import catalog, extract, layout, lineage, readers, sinks
 from lodestrata.workload.lake import Lake
 from lodestrata.workload.registry import query
 from lodestrata.workload.sqltext import rnd
@@ -299,7 +299,7 @@ def layer_footprint(lake: Lake) -> DataFrame:
 def scan_cost(lake: Lake) -> DataFrame:
     path = lake.scratch("mart-by-cycle")
     sinks.overwrite_path(lake.unit_mart, path, ["cycle"])
-    return footers.scan_cost(lake.spark, path, "cycle=2000", ["unit_id", "unit_name", "rate", "segment_name"])
+    return layout.scan_bytes(readers.read_parquet(lake.spark, path), {"full": None, "partition": "cycle = 2000"})
 
 
 @query("clustered_rewrite", "S12", """

@@ -3,7 +3,7 @@ import pytest
 from lodestrata import storage
 from lodestrata.operators.monitor import Monitor
 from lodestrata.plans.store import Store
-from lodestrata.sources import catalog, footers, lineage, readers, sinks
+from lodestrata.sources import catalog, layout, lineage, readers, sinks
 from lodestrata.storage import materialise, release_scratch, scratch_root
 
 
@@ -53,9 +53,9 @@ def test_layout_skips_and_keeps_rows(spark, folder):
     back = spark.read.parquet(f"{folder}/c")
     assert back.exceptAll(df).isEmpty() and back.count() == 2000
     sinks.overwrite_path(df, f"{folder}/p", ["k"])
-    costs = {r.strategy: r.bytes for r in footers.scan_cost(spark, f"{folder}/p", "k=7", ["id"]).collect()}
-    assert costs["full_scan"] > costs["one_partition"] >= costs["partition_projected"] > 0
-    assert catalog.footprint(spark, {"x": f"{folder}/p"}).first().bytes > costs["full_scan"]
+    costs = {r.strategy: r for r in layout.scan_bytes(spark.read.parquet(f"{folder}/p"), {"all": None, "one": "k = 7", "none": "k = -1"}).collect()}
+    assert costs["all"].bytes > costs["one"].bytes > 0 == costs["none"].bytes and costs["all"].files > costs["one"].files >= 1
+    assert catalog.footprint(spark, {"x": f"{folder}/p"}).first().bytes == costs["all"].bytes
 
 
 def test_views_skip_missing(spark, folder):
