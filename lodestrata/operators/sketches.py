@@ -44,13 +44,17 @@ def rank_of(df: DataFrame, estimates: DataFrame, keys: Sequence[str], value: str
     """``estimates`` with the exact shares of the group's values below and up to the estimate."""
     number = F.col(value).cast("double")
     usable = df.where(F.col(value).isNotNull() & ~F.isnan(number)).select(*keys, number.alias("_v"))
+    shares = {"share_below": F.count_if(F.col("_v") < F.col("_q")) / F.count(F.lit(1)),
+              "share_upto": F.count_if(F.col("_v") <= F.col("_q")) / F.count(F.lit(1))}
+    if not keys:  # one estimate over all rows
+        ranks = usable.withColumn("_q", estimates.select(estimate).scalar()).agg(*[c.alias(n) for n, c in shares.items()])
+        return estimates.withColumns({n: ranks.select(n).scalar() for n in shares})
     renamed = estimates.withColumnsRenamed({c: f"_e_{c}" for c in keys})
     same = F.lit(True)
     for c in keys:
         same = same & F.col(c).eqNullSafe(F.col(f"_e_{c}"))
     ranks = usable.join(renamed.select(*[f"_e_{c}" for c in keys], F.col(estimate).alias("_q")), same).groupBy(*keys).agg(
-        (F.count_if(F.col("_v") < F.col("_q")) / F.count(F.lit(1))).alias("share_below"),
-        (F.count_if(F.col("_v") <= F.col("_q")) / F.count(F.lit(1))).alias("share_upto"))
+        *[c.alias(n) for n, c in shares.items()])
     ours = ranks.withColumnsRenamed({c: f"_r_{c}" for c in keys})
     again = F.lit(True)
     for c in keys:
