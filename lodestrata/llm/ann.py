@@ -6,8 +6,9 @@ searches each shard with a beam and the shards' best are merged.
 
 Equal vectors are one node, which keeps as many of its smallest ids as a result can name. Ties go to the smaller id.
 Vectors of each dimension have shards of their own, and a query searches those of its dimension. Vectors that are null,
-zero, or hold null or non-finite components take no part, neither do rows without an id; rows that repeat an id count once
-for each different vector. Other columns are not read.
+zero, or hold null or non-finite components take no part, neither do rows without an id. Where an id has several vectors,
+its score is the largest of them; where a query's id has several, each is searched and the largest score of a neighbour
+counts. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from lodestrata.storage import materialise
 
 #: Vectors of a shard, edges of a node, width of the beams, relaxation of the pruning, nodes inserted together.
 SHARD, DEGREE, BEAM, ALPHA, BATCH = 8192, 32, 64, 1.2, 512
+#: Queries of a search task.
+ASKED = 8192
 
 
 def beam_search(queries: np.ndarray, points: np.ndarray, graph: np.ndarray, entry: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,34 +134,59 @@ def keyed(rows: DataFrame) -> DataFrame:
                                        for n in by_dimension(rows)])
 
 
+def _graph(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of a shard with their edges, numbered within the shard."""
+    nodes = nodes.sort_values(["k1", "k2"], ignore_index=True)
+    graph, entry = build_graph(unit(np.stack(nodes["embedding"].to_numpy()).astype(np.float64)).astype(np.float32), seed=int(key[0]))
+    return pd.DataFrame({"shard": key[0], "place": np.arange(len(nodes)), "entry": entry, "edges": list(graph),
+                         "ids": nodes["ids"], "embedding": nodes["embedding"]})
+
+
+def cosines(wanted: np.ndarray, original: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Cosine of every query with each of its hits in double precision, a bounded number of components at a time.
+
+    Rows are scaled by powers of two first, which changes no digit of the cosine and keeps squares from overflowing.
+    """
+    scaled = lambda x: np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    wanted, original, out = scaled(wanted), scaled(original), np.empty(hits.shape)
+    length, step = np.sqrt((original * original).sum(axis=1)), max(1, (1 << 22) // (hits.shape[1] * original.shape[1]))
+    for first in range(0, len(wanted), step):
+        part, x = hits[first:first + step], wanted[first:first + step]
+        out[first:first + step] = (original[part] * x[:, None]).sum(axis=2) / (length[part] * np.sqrt((x * x).sum(axis=1))[:, None])
+    return out
+
+
 def _search(k: int):
-    def run(key: tuple, nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if nodes.empty or queries.empty:
             return none
-        nodes = nodes.sort_values(["k1", "k2"], ignore_index=True)
-        original = np.stack(nodes["embedding"].to_numpy()).astype(np.float64)
-        points = unit(original).astype(np.float32)
-        graph, entry = build_graph(points, seed=int(key[0]))
-        out = []
+        nodes = nodes.sort_values("place", ignore_index=True)
+        original, graph = np.stack(nodes["embedding"].to_numpy()).astype(np.float64), np.stack(nodes["edges"].to_numpy())
+        points, ids = unit(original).astype(np.float32), nodes["ids"].to_numpy()
+        wanted, asked, out = np.stack(queries["embedding"].to_numpy()).astype(np.float64), queries["vec_id"].to_numpy(), [none]
         for first in range(0, len(queries), BATCH):
-            part = queries.iloc[first:first + BATCH]
-            wanted = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-            found, _ = beam_search(unit(wanted).astype(np.float32), points, graph, entry, max(BEAM, 2 * k + 2))
-            for q, x, hits in zip(part["vec_id"], wanted, found[:, :2 * k + 2], strict=True):
-                hits = hits[hits >= 0]
-                near = original[hits]
-                score = (near * x).sum(axis=1) / (np.sqrt((near * near).sum(axis=1)) * np.sqrt((x * x).sum()))
-                out += [(q, i, s) for h, s in zip(hits, score, strict=True) for i in nodes["ids"].iat[h] if i != q]
-        out = pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else none
-        best = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return best.groupby("query_id").head(k)
+            part = slice(first, first + BATCH)
+            found, _ = beam_search(unit(wanted[part]).astype(np.float32), points, graph, int(nodes["entry"].iat[0]), max(BEAM, 2 * k + 2))
+            score, (row, col) = cosines(wanted[part], original, found), np.nonzero(found >= 0)
+            named = ids[found[row, col]]
+            times = np.array([len(n) for n in named])
+            hits = pd.DataFrame({"query_id": np.repeat(asked[part][row], times), "vec_id": np.concatenate(named),
+                                 "score": np.repeat(score[row, col], times)})
+            hits = hits[hits["query_id"] != hits["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+            out.append(hits.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k))
+        return pd.concat(out)
 
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's ``k`` nearest by cosine among all vectors but its own."""
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
+            block: int = ASKED) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's ``k`` nearest by cosine among all vectors but its own.
+
+    The graph of every shard is built once and written. A search task holds one shard and one block of about ``block``
+    queries, whatever the number of either.
+    """
     rows = materialise(keyed(usable(vectors, id_col, vec_col)), "vectors")
     # A node keeps its k + 1 smallest ids: more can never be named, the query itself being one of them.
     first = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("vec_id"))
@@ -166,14 +194,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
         rows.dropDuplicates(["vec_id", "k1", "k2"]).withColumn("place", first).where(F.col("place") <= k + 1)
         .groupBy("k1", "k2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.any_value("embedding").alias("embedding")),
         "nodes")
-    wanted, parts = usable(queries, id_col, vec_col), []
+    wanted = materialise(keyed(usable(queries, id_col, vec_col)).dropDuplicates(["vec_id", "k1", "k2"]), "queries")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked_for, graphs, parts = by_dimension(wanted), [], []
     for n, size in by_dimension(nodes).items():
-        shards = max(1, -(-size // SHARD))
-        dealt = of_dimension(nodes, n).withColumn("shard", F.pmod("k1", F.lit(shards)))
-        asked = of_dimension(wanted, n).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-        parts.append(dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(
+        shards, blocks = max(1, -(-size // SHARD)), max(1, -(-asked_for.get(n, 0) // block))
+        graphs.append(materialise(
+            of_dimension(nodes, n).withColumn("shard", F.pmod("k1", F.lit(shards))).groupBy("shard").applyInPandas(
+                _graph, "shard long, place int, entry int, edges array<int>, ids array<long>, embedding array<double>"), "graph"))
+        asked = of_dimension(wanted, n).withColumn("block", F.pmod(F.xxhash64("vec_id", "k1", "k2"), F.lit(blocks)))
+        parts.append(graphs[-1].withColumn("block", every(blocks)).groupBy("shard", "block").cogroup(
+            asked.withColumn("shard", every(shards)).groupBy("shard", "block")).applyInPandas(
             _search(k), "query_id long, vec_id long, score double"))
-    found = reduce(DataFrame.unionAll, parts)
+    found = reduce(DataFrame.unionAll, parts).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", rank).where(F.col("rank") <= k) \
+    return found.withColumn("rank", rank).where(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
