@@ -128,7 +128,8 @@ class TestTables:
         assert rows
         if sql := entry.oracle_sql().get(name):
             con = duckdb.connect()
-            con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+            for view in ("documents", "embeddings", "benchmark"):
+                con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{DATA}/{view}.parquet'")
             result = con.execute(sql)
             names = [d[0] for d in result.description]
             assert rows_of(got.columns, rows) == rows_of(names, result.fetchall())
