@@ -200,7 +200,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     for n, size in by_dimension(nodes).items():
         shards, blocks = max(1, -(-size // SHARD)), max(1, -(-asked_for.get(n, 0) // block))
         graphs.append(materialise(
-            of_dimension(nodes, n).withColumn("shard", F.pmod("k1", F.lit(shards))).groupBy("shard").applyInPandas(
+            of_dimension(nodes, n).withColumn("shard", F.pmod("k1", F.lit(shards)))
+            .repartition(2 * shards, "shard").groupBy("shard").applyInPandas(  # small shards are dear too: don't merge them
                 _graph, "shard long, place int, entry int, edges array<int>, ids array<long>, embedding array<double>"), "graph"))
         asked = of_dimension(wanted, n).withColumn("block", F.pmod(F.xxhash64("vec_id", "k1", "k2"), F.lit(blocks)))
         parts.append(graphs[-1].withColumn("block", every(blocks)).groupBy("shard", "block").cogroup(
