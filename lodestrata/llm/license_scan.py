@@ -131,18 +131,16 @@ def spans(docs: DataFrame) -> DataFrame:
     diagonals = hits.groupBy(*template, (F.col("at") - F.col("place")).alias("diagonal")) \
         .agg(F.collect_set("place").alias("places"), F.min("at").alias("low"), F.max("at").alias("high"))
     out = ["id", "rid", "template", "base", "need", "label", "start", "words", "coverage"]
-    base = diagonals.where(F.col("base") & (F.size("places") == F.col("length") - 1)) \
-        .select(*template, F.col("diagonal").alias("start"), F.col("length").alias("words"), F.lit(1.0).alias("coverage")).select(*out)
     by_template = Window.partitionBy("id", "rid", "template").orderBy("diagonal")
     apart = F.when(F.col("need") == 1, 0).otherwise(GAP)
     fresh = (F.col("diagonal") - F.lag("diagonal").over(by_template) > apart).cast("int")
-    merged = diagonals.where("not base").withColumn("fresh", F.coalesce(fresh, F.lit(1))) \
+    return diagonals.withColumn("fresh", F.coalesce(fresh, F.lit(1))) \
         .withColumn("span", F.sum("fresh").over(by_template)) \
         .groupBy(*template, "span") \
         .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"), F.min("low").alias("start"), F.max("high").alias("end")) \
         .withColumn("words", F.col("end") - F.col("start") + F.col("k")) \
-        .withColumn("coverage", _covered(F.col("places")) / F.col("length")).select(*out)
-    return base.unionAll(merged)
+        .withColumn("coverage", _covered(F.col("places")) / F.col("length")).select(*out) \
+        .where("not base or coverage = 1")
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
