@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestrata.functions.numeric import half_up, safe_ratio
+from lodestrata.operators import centroids
 from lodestrata.operators.keys import stratified_split
 from lodestrata.plans.rules import Rules
 from lodestrata.storage import materialise
@@ -162,30 +161,12 @@ def cluster_vectors(base: DataFrame, measures: Sequence[str]) -> DataFrame:
     return StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(vectors).transform(vectors)
 
 
-def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seeds: Sequence[int] = tuple(range(42, 52)),
-                 parallel: int = 8) -> tuple[DataFrame, dict]:
-    """Silhouette and inertia per k, each the best of several seeds; returns the models too.
-
-    The fits are independent Spark jobs over one cached table and are submitted side by side.
-    """
-    cached = vectors.select("scaled").cache()
-    cached.count()
-
-    def fit(task: tuple[int, int]):
-        k, seed = task
-        return KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=100).fit(cached)
-
-    def silhouette(model) -> float:
-        return ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster").evaluate(model.transform(cached))
-
-    tasks = [(k, seed) for k in ks for seed in seeds]
-    with ThreadPoolExecutor(parallel) as pool:
-        fits = list(zip(tasks, pool.map(fit, tasks), strict=True))
-        models = {k: min((m for (kk, _), m in fits if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
-        scores = dict(zip(ks, pool.map(silhouette, models.values()), strict=True))
-    cached.unpersist()
-    rows = [(k, round(scores[k], 3), float(round(models[k].summary.trainingCost))) for k in ks]
-    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double"), models
+def cluster_scan(vectors: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6),
+                 seeds: Sequence[int] = tuple(range(42, 52))) -> tuple[DataFrame, dict[int, centroids.Clusters]]:
+    """Silhouette and inertia per k, each the best of several seeds, and the clusters; every pass serves all k and seeds."""
+    found = centroids.scan(vectors.select(vector_to_array("scaled").alias("x")), ks, seeds)
+    rows = [(k, None if c.silhouette is None else round(c.silhouette, 3), float(round(c.inertia))) for k, c in found.items()]
+    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double"), found
 
 
 def choose_k(scan: DataFrame, low: int = 3, high: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lodestrata.functions.numeric import half_up
-from lodestrata.operators import moments
+from lodestrata.operators import centroids, moments
 from lodestrata.workload.lake import Lake
 from lodestrata.workload.registry import query
 from lodestrata.workload.sqltext import rnd
@@ -60,3 +60,30 @@ def ridge_moments_one(lake: Lake) -> DataFrame:
 def ridge_moments_two(lake: Lake) -> DataFrame:
     """The same with two features."""
     return _lines(lake, ["l_quantity", "l_discount"])
+
+
+@query("kmeans_line", "L11, L12", f"""
+    WITH counted AS (SELECT 100.0::DOUBLE * (l_linenumber % 3) + l_quantity AS x, COUNT(*) AS n FROM lineitem GROUP BY 1),
+    running AS (SELECT SUM(n) OVER w AS n, SUM(n * x) OVER w AS s, SUM(n * x * x) OVER w AS q FROM counted WINDOW w AS (ORDER BY x)),
+    ends AS (SELECT MAX(n) AS tn, MAX(s) AS ts, MAX(q) AS tq FROM running),
+    two AS (
+        SELECT n AS low_rows, s / n AS low_centre, (ts - s) / (tn - n) AS high_centre, q - s * s / n + tq - q - (ts - s) ** 2 / (tn - n) AS cost
+        FROM running, ends WHERE n < tn),
+    three AS (
+        SELECT a.n AS low_rows, a.s / a.n AS low_centre, (ts - b.s) / (tn - b.n) AS high_centre,
+               a.q - a.s * a.s / a.n + b.q - a.q - (b.s - a.s) ** 2 / (b.n - a.n) + tq - b.q - (ts - b.s) ** 2 / (tn - b.n) AS cost
+        FROM running a JOIN running b ON a.n < b.n, ends WHERE b.n < tn)
+    SELECT CAST(k AS INTEGER) AS k, CAST(low_rows AS BIGINT) AS low_rows, {rnd("low_centre", 3)} AS low_centre,
+           {rnd("high_centre", 3)} AS high_centre, {rnd("cost", 0)} AS inertia
+    FROM (SELECT 2 AS k, * FROM (SELECT * FROM two ORDER BY cost LIMIT 1) UNION ALL SELECT 3, * FROM (SELECT * FROM three ORDER BY cost LIMIT 1))""")
+def kmeans_line(lake: Lake) -> DataFrame:
+    """Two and three clusters on a line, where SQL can try every cut; ten seeds of both in the same passes."""
+    lines = lake.source("lineitem").select(
+        F.array((100.0 * (F.col("l_linenumber") % 3) + F.col("l_quantity")).cast("double")).alias("x"))
+    rows = []
+    for k, c in centroids.scan(lines, (2, 3), range(10)).items():
+        order = c.centres[:, 0].argsort()
+        rows.append((k, int(c.sizes[order[0]]), float(c.centres[order[0], 0]), float(c.centres[order[-1], 0]), c.inertia))
+    found = lines.sparkSession.createDataFrame(rows, "k int, low_rows long, low_centre double, high_centre double, inertia double")
+    return found.select("k", "low_rows", half_up("low_centre", 3).alias("low_centre"), half_up("high_centre", 3).alias("high_centre"),
+                        half_up("inertia", 0).alias("inertia"))
