@@ -42,6 +42,8 @@ COMMON = 1 << 17
 #: Rows of weights that travel together.
 ROWS = 256
 END = np.uint64(0x454E44)
+#: Shift that leaves the leading twenty bits of a hash.
+SLOT = np.uint64(44)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +105,15 @@ class Vocabulary:
         """(item, count) of every token; count -1 where it has to be joined."""
         if not len(self.hashes):
             return np.full(len(hashes), self.tail), np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        if getattr(self, "_slots", None) is None:
+            top = (self.hashes >> SLOT).astype(np.int64)
+            n = np.bincount(top, minlength=1 << 20)
+            self._slots = np.minimum(np.cumsum(n) - n, len(self.hashes) - 1), n > 1
+        # A slot by leading bits holds one word mostly; only those with more are searched.
+        top = (hashes >> SLOT).astype(np.int64)
+        at = self._slots[0][top]
+        more = np.flatnonzero(self._slots[1][top])
+        at[more] = np.minimum(np.searchsorted(self.hashes, hashes[more]), len(self.hashes) - 1)
         found = self.hashes[at] == hashes
         item = np.where(found, self.items[at], -1)
         return np.where(item < 0, self.tail, item), np.where(found, self.counts[at], -1)
@@ -180,8 +190,8 @@ class Model:
         return np.stack([np.where(rare, above + hashed(0, 0, one), one), k + two, above + hashed(1, last, two)]), \
             np.stack([np.where(rare, below + hashed(2, class_, one), class_ * k + one), below + hashed(3, class_, two)])
 
-    def forward(self, item: np.ndarray, rows: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Chances of classes and of the class's items, and the log chance of the item (natural)."""
+    def forward(self, item: np.ndarray, rows: tuple[np.ndarray, np.ndarray], chances: bool = True) -> tuple[list[np.ndarray], np.ndarray]:
+        """Chances of classes and of the class's items (if asked for), and the log chance of the item (natural)."""
         class_, place = item // self.words.width, item % self.words.width
         out, log = [], np.zeros(len(item))
         for bias, table, own, target in ((self.class_bias, self.by_class, rows[0], class_),
@@ -195,8 +205,9 @@ class Model:
             np.exp(score, out=score)
             total = score @ np.ones(score.shape[1], np.float32)
             log -= np.log(total)
-            score /= total[:, None]
-            out.append(score)
+            if chances:
+                score /= total[:, None]
+                out.append(score)
         return out, log
 
     def log10(self, doc: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -204,7 +215,7 @@ class Model:
         rows, item = self.features(doc, code), np.minimum(code, self.words.tail)
         for first in range(0, len(item), 4 * STEP_TOKENS):
             part = slice(first, first + 4 * STEP_TOKENS)
-            out[part] = self.forward(item[part], (rows[0][:, part], rows[1][:, part]))[1]
+            out[part] = self.forward(item[part], (rows[0][:, part], rows[1][:, part]), False)[1]
         return out / np.log(10)
 
 
