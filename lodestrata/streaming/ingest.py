@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -10,8 +11,11 @@ from pyspark.sql.types import StructType
 from lodestrata.operators.keys import one_per_key
 from lodestrata.plans.rules import Rules
 from lodestrata.sources.lineage import record_hash
+from lodestrata.storage import materialise
 from lodestrata.streaming.contract import EVENT_SCHEMA, enrich, judge
 
+#: Ids that one task counts.
+IDS_PER_TASK = 500_000
 DEAD_LETTER_COLUMNS = ("event_id", "unit_id", "score", "ts_text", "injected_defect", "rejection")
 
 
@@ -56,21 +60,31 @@ def landed_schema(schema: StructType = EVENT_SCHEMA) -> str:
             "latency_ms double, accepted boolean, stream string, epoch bigint")
 
 
+def repeated_ids(everything: DataFrame, ids_per_task: int = IDS_PER_TASK) -> DataFrame:
+    """Ids of more than one row, written once; the number of tasks that count them grows with the rows."""
+    tasks = max(1, ceil(everything.count() / ids_per_task))
+    ids = everything.select("event_id").where("event_id is not null").repartition(tasks, "event_id")
+    return materialise(ids.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("event_id"), "repeated-ids")
+
+
 def landed(spark: SparkSession, folder: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
     """Everything landed so far, each event once however many streams or epochs brought it.
 
     Events without an id are told apart by their content: all rows of the first stream that brought it count.
     """
     everything = spark.read.schema(landed_schema(schema)).parquet(folder)
-    # Ids alone show which events came more than once; only the rows of those are put in order.
-    repeated = everything.where("event_id is not null").groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")) \
-        .where("_n > 1").select("event_id")
-    single = everything.where("event_id is not null").join(repeated, "event_id", "left_anti")
-    again = everything.join(repeated, "event_id", "left_semi")
-    named = single.unionByName(one_per_key(again, ["event_id"], [F.col("stream"), F.col("epoch")]))
-    nameless = everything.where("event_id is null").withColumn("_content", record_hash(schema.fieldNames()))
-    first = nameless.groupBy("_content").agg(F.min("stream").alias("stream"))
-    return named.unionByName(nameless.join(first, ["_content", "stream"], "left_semi").drop("_content")).drop("stream")
+    named, nameless = everything.where("event_id is not null"), everything.where("event_id is null")
+    # Ids alone show which events came more than once; only the rows of those are put in order, and without any no row moves.
+    repeated = repeated_ids(everything)
+    if not repeated.isEmpty():
+        again = named.join(repeated, "event_id", "left_semi")
+        named = named.join(repeated, "event_id", "left_anti").unionByName(
+            one_per_key(again, ["event_id"], [F.col("stream"), F.col("epoch")]))
+    if not nameless.isEmpty():
+        told = nameless.withColumn("_content", record_hash(schema.fieldNames()))
+        first = told.groupBy("_content").agg(F.min("stream").alias("stream"))
+        named = named.unionByName(told.join(first, ["_content", "stream"], "left_semi").drop("_content"))
+    return named.drop("stream")
 
 
 def accepted_events(everything: DataFrame) -> DataFrame:
