@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from lodestrata.storage import materialise, release
 
 #: Rows compared at once in a task, movement below which a setting has settled, and most passes.
 STEP, SETTLED, PASSES = 4096, 1e-4, 100
+#: Rows of one file of points: a pass compares each row with the centres of all settings, so few rows are work for a task.
+ROWS_PER_FILE = 8192
 Setting = tuple[int, int]
 
 
@@ -56,8 +59,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    apart = x[:, None, :] - centres
-    return np.einsum("nkd,nkd->nk", apart, apart)
+    far = np.zeros((len(x), len(centres)))
+    for j in range(x.shape[1]):
+        apart = x[:, j, None] - centres[:, j]
+        apart *= apart
+        far += apart
+    return far
 
 
 def _uniform(h: np.ndarray, setting: Setting, place: int) -> np.ndarray:
@@ -150,6 +157,10 @@ def scan(points: DataFrame, ks: Sequence[int], seeds: Sequence[int], passes: int
     whole = points.select(F.col("x").cast("array<double>").alias("x")) \
         .where(F.size("x") > 0).where(~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
     points = materialise(whole.select("x", F.xxhash64("x").alias("h")), "points")
+    files = ceil(points.count() / ROWS_PER_FILE)
+    if files > 1:  # a table of few megabytes comes in one piece, however many tasks could share it
+        short, points = points, materialise(points.repartition(files), "points-dealt")
+        release(short)
     dims = points.agg(F.max(F.size("x"))).first()[0] or 0
     sets: dict[Setting, np.ndarray] = {(k, seed): np.zeros((0, dims)) for k in ks for seed in seeds}
     for place in range(max(ks) if dims else 0):
