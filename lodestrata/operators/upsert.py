@@ -63,7 +63,7 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     return _without(target, newest, keys).unionByName(newest, allowMissingColumns=True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
@@ -83,7 +83,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     state and some at the old; running it again gives the same table.
     """
     newest = materialise(one_per_key(source, keys, order), "upsert-source")
-    if not _exists(spark, path):
+    if not exists(spark, path):
         result = _bucketed(newest, keys, buckets)
         bucket = _bucket_column(result)
     else:

@@ -1,24 +1,22 @@
 """Alerts as keyed state over the stream: what an event changes is its unit's sums, not a scan of all events so far.
 
-Every unit keeps its weighted sums and its last alert. Events are taken once by id, within the stream's whole life or, with
-``lateness``, within a watermark. Each epoch gives the units it touched that are in alert or just left it; a keyed table
-takes them in, so an epoch that is run again changes nothing.
+Every unit keeps its weighted sums in the stream's state; its last alert stands in a keyed table. Events are taken once by
+id, within the stream's whole life or, with ``lateness``, within a watermark. Each epoch gives the units it touched; the
+table takes in those in alert or just out of it, so an epoch that is run again changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from decimal import ROUND_HALF_UP, Decimal
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lodestrata.functions import numeric
 from lodestrata.operators.joins import lookup
-from lodestrata.operators.upsert import read_upserted, upsert
+from lodestrata.operators.upsert import exists, read_upserted, upsert
 from lodestrata.plans.rules import Rules
 
-STATE = "events long, passed double, weight double, kind string, raised int"
 ALERTS = ("unit_id int, unit_name string, parent_name string, events long, stream_rate double, official_rate double, "
           "delta double, kind string, severity string, raised int")
 #: State store that keeps its rows on disk, for streams of many units.
@@ -31,51 +29,36 @@ def half_up(value: float, digits: int) -> float:
     return float(steady.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
 
 
-def alert_kind(rate: float, delta: float | None, rules: Rules) -> str | None:
-    if delta is not None and delta < -rules.alert_drop_points:
-        return rules.alert_names["drop"]
-    return rules.alert_names["below"] if rate < rules.alert_floor else None
-
-
-def _follow(rules: Rules):
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        events, passed, weight, last, raised = state.get if state.exists else (0, 0.0, 0.0, None, 0)
-        unit = None
-        for part in parts:
-            events += len(part)
-            weight += float(part["weight"].sum())
-            passed += float(part.loc[part["passed"].fillna(False).astype(bool), "weight"].sum())
-            unit = part.iloc[-1] if len(part) else unit
-        kind = rate = delta = official = None
-        if events >= rules.alert_min_records and weight:
-            rate = half_up(100.0 * passed / weight, 2)
-            official = None if unit is None or pd.isna(unit["official_rate"]) else float(unit["official_rate"])
-            delta = None if official is None else half_up(rate - official, 2)
-            kind = alert_kind(rate, delta, rules)
-        raised += kind is not None and kind != last
-        state.update((events, passed, weight, kind, raised))
-        if unit is not None and (kind is not None or last is not None):
-            severity = None if kind is None else rules.alert_names["high" if kind == rules.alert_names["drop"] else "medium"]
-            columns = [c.split()[0] for c in ALERTS.split(", ")]
-            yield pd.DataFrame([[key[0], unit["unit_name"], unit["parent_name"], events, rate, official, delta, kind, severity,
-                                 raised]], columns=columns)
-
-    return run
-
-
 def alert_stream(events: DataFrame, baseline: DataFrame, rules: Rules, lateness: str | None = None) -> DataFrame:
-    """Changes of alerts, from a stream of accepted events (``judged_stream`` where accepted)."""
+    """Units as they stand after every epoch that touched them, from a stream of accepted events (``judged_stream`` where
+    accepted); ``kind`` is null where there is no alert. Names are those of the unit's newest event."""
     once = (events.dropDuplicates(["event_id"]) if lateness is None
             else events.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"]))
-    compared = lookup(once.select("unit_id", "unit_name", "parent_name", "passed", "weight"),
-                      baseline.select("unit_id", "official_rate"), "unit_id")
-    return compared.groupBy("unit_id").applyInPandasWithState(_follow(rules), ALERTS, STATE, "update", GroupStateTimeout.NoTimeout)
+    sums = once.groupBy("unit_id").agg(
+        F.count(F.lit(1)).alias("events"), F.max_by(F.struct("unit_name", "parent_name"), "event_time").alias("_named"),
+        numeric.half_up(numeric.weighted_rate("passed", "weight"), 2).alias("_rate"))
+    names, enough = rules.alert_names, F.col("events") >= rules.alert_min_records
+    compared = lookup(sums, baseline.select("unit_id", F.col("official_rate").alias("_official")), "unit_id").select(
+        "unit_id", "_named.unit_name", "_named.parent_name", "events", F.when(enough, F.col("_rate")).alias("stream_rate"),
+        F.when(enough & F.col("_rate").isNotNull(), F.col("_official")).alias("official_rate"))
+    delta = numeric.half_up(F.col("stream_rate") - F.col("official_rate"), 2)
+    kind = (F.when(F.col("delta") < -rules.alert_drop_points, F.lit(names["drop"]))
+            .when(F.col("stream_rate") < rules.alert_floor, F.lit(names["below"])))
+    severity = (F.when(F.col("kind") == names["drop"], F.lit(names["high"]))
+                .when(F.col("kind").isNotNull(), F.lit(names["medium"])))
+    return compared.withColumn("delta", delta).withColumn("kind", kind).withColumn("severity", severity)
 
 
 def keep_alerts(path: str, buckets: int = 16) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: the latest state of every unit that ever was in alert."""
+    """``foreachBatch`` body: the latest state of every unit that ever was in alert, and how often one was raised for it."""
     def keep(batch: DataFrame, epoch: int) -> None:
-        upsert(batch.sparkSession, path, batch, ["unit_id"], buckets=buckets)
+        spark = batch.sparkSession
+        known = read_upserted(spark, path) if exists(spark, path) else spark.createDataFrame([], ALERTS)
+        met = lookup(batch, known.select("unit_id", F.col("kind").alias("_last"), F.col("raised").alias("_raised")), "unit_id")
+        risen = F.col("kind").isNotNull() & ~F.col("kind").eqNullSafe(F.col("_last"))
+        changed = met.where(F.col("kind").isNotNull() | F.col("_last").isNotNull()).withColumn(
+            "raised", F.coalesce("_raised", F.lit(0)) + risen.cast("int")).drop("_last", "_raised")
+        upsert(spark, path, changed, ["unit_id"], buckets=buckets)
 
     return keep
 
