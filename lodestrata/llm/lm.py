@@ -196,10 +196,10 @@ class Model:
         out, log = [], np.zeros(len(item))
         for bias, table, own, target in ((self.class_bias, self.by_class, rows[0], class_),
                                          (self.item_bias[class_], self.by_item, rows[1], place)):
-            score = table[own[0]]
+            score = table.take(own[0], axis=0)
             score += bias
             for r in own[1:]:
-                score += table[r]
+                score += table.take(r, axis=0)
             score -= score.max(axis=1, keepdims=True)
             log += score[np.arange(len(item)), target]
             np.exp(score, out=score)
@@ -219,6 +219,18 @@ class Model:
         return out / np.log(10)
 
 
+def run_sums(rows: np.ndarray, at: np.ndarray, n: np.ndarray, few: int = 8) -> np.ndarray:
+    """Sums of the runs of ``n`` rows that start ``at``. Most runs are short and added row by row for all runs together;
+    ``reduceat`` walks every run column by column."""
+    out = rows.take(at, axis=0)
+    for k in range(1, few):
+        more = np.flatnonzero((n > k) & (n <= few))
+        out[more] += rows.take(at[more] + k, axis=0)
+    for i in np.flatnonzero(n > few):
+        np.add.reduce(rows[at[i]:at[i] + n[i]], axis=0, out=out[i])
+    return out
+
+
 class Learner:
     """A learner's own copy of the weights and its step sizes."""
 
@@ -243,7 +255,7 @@ class Learner:
                     order = np.argsort(r)
                     at = np.flatnonzero(np.diff(r[order], prepend=-1))
                     row, n = r[order][at], np.diff(np.append(at, len(r)))
-                    slope = np.add.reduceat(chance[order], at, axis=0)
+                    slope = run_sums(chance.take(order, axis=0), at, n)
                     self.squares[t][row] += np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
                     self.used[t][row] += n
                     slope *= (self.rate / np.sqrt(self.squares[t][row]))[:, None]
