@@ -9,16 +9,31 @@ def as_column(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
 
+# Up to this many digits, the product with a power of ten and the cut of the last decimals move a value by far less than
+# a thousandth of the last digit's unit, as long as its units are well below 2 to the 41st.
+PLAIN_DIGITS, PLAIN_PART = 4, 2.0 ** -42
+
+
 def half_up(value: Column | str, digits: int) -> Column:
     """Round half up on the decimal value, insensitive to summation-order noise.
 
     The last digits of a double differ from run to run with the order of a distributed sum. They are cut first: a rate,
     or whatever is below 1000, goes through twelve decimals, a larger figure through eight. NaN has no decimal value and
     gives null; a value of any size is kept.
+
+    Only a value near the middle between two results needs its decimals. All others go to the nearest whole number of
+    units, whose quotient is the same double, and cost no decimal numbers.
     """
     number = as_column(value).cast("double")
     steady = F.when(F.abs(number) < 1000, F.round(number, 12)).when(~F.isnan(number), F.round(number, 8))
-    return F.round(steady, digits)
+    exact = F.round(steady, digits)
+    if not 0 <= digits <= PLAIN_DIGITS:
+        return exact
+    units = number * F.lit(10.0 ** digits)
+    whole = F.rint(units)
+    plain = F.abs(units - whole) + F.abs(units) * F.lit(PLAIN_PART) < 0.499
+    # Adding zero turns a negative zero into the positive one that decimals give.
+    return F.when(plain, whole / F.lit(10.0 ** digits) + F.lit(0.0)).otherwise(exact)
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lodestrata.functions.labels import decode
 from lodestrata.functions.numeric import half_up, safe_ratio
 
 
@@ -20,9 +22,10 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name
     ``name`` holds the number that ends the column name (a year, a level).
     """
     typed = df.select(*ids, *[F.col(c).try_cast("double").alias(c) for c in columns])
+    numbers = {c: int(found[0]) if (found := re.search(r"[0-9]+$", c)) else None for c in columns}
     long = typed.unpivot(list(ids), list(columns), "_column", value)
     return (long.where(F.col(value).isNotNull())
-            .select(*ids, F.regexp_extract("_column", r"(\d+)$", 1).cast("int").alias(name), value))
+            .select(*ids, decode("_column", numbers).cast("int").alias(name), value))
 
 
 def crosstab_share(df: DataFrame, row: str, column: str, labels: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import replace
 from functools import cached_property
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestrata.functions.labels import crosswalk
 from lodestrata.functions.numeric import half_up, safe_ratio
@@ -55,6 +55,11 @@ EVENT_RULES: Rules = replace(RULES, cut=20.0, score_range=(1.0, 100.0))
 DELIVERIES = 3
 
 
+def tenths(base: Column) -> Column:
+    """A target from whole tenths, one more every cycle: the double next to its decimal value, without rounding."""
+    return (base + F.col("cycle") - FIRST_CYCLE) / F.lit(10.0)
+
+
 class Lake:
     """Tables of one data folder; each is built on first use and written once per session."""
 
@@ -141,16 +146,14 @@ class Lake:
             (half_up(rate, 2) + F.when(F.col("unit_id") % 50 == 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("rate"),
             half_up(safe_ratio(F.col("assessed") * 100.0, "registered"), 2).alias("participation"),
             F.floor(rate / 20).cast("int").alias("aggregate_level"),
-            *[F.when(declared, half_up(45 + F.col("unit_id") % 25 + F.lit(2.0 * (y - 1996))
-                                       + (F.col("cycle") - FIRST_CYCLE) * 0.1, 2)).alias(f"target_{y}")
+            *[F.when(declared, tenths((45 + F.col("unit_id") % 25) * 10 + 20 * (y - 1996))).alias(f"target_{y}")
               for y in TARGET_YEARS])
 
     def raw_parent_targets(self) -> DataFrame:
         declared = F.col("parent_id") % 9 != 0
         return self.parent_sums.where(F.col("segment") == RULES.focus_segment).select(
             "cycle", "parent_id", F.lit("RETURNED").alias("segment_text"),
-            *[F.when(declared, half_up(50 + F.col("parent_id") % 10 + F.lit(1.5 * (y - 1996))
-                                       + (F.col("cycle") - FIRST_CYCLE) * 0.1, 2)).alias(f"target_{y}")
+            *[F.when(declared, tenths((50 + F.col("parent_id") % 10) * 10 + 15 * (y - 1996))).alias(f"target_{y}")
               for y in TARGET_YEARS])
 
     def raw_events(self) -> DataFrame:
