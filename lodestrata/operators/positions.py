@@ -52,9 +52,11 @@ def running_counts(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     if bound is None:
         df = materialise(df, "counts")
     if (bound if bound is not None else largest_group(df, group)) <= window_rows:
+        # The total has the order too, so that both sums take one pass over the same buffered group.
+        throughout = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return df.withColumns({
             out: F.coalesce(F.sum(weight).over(earlier), F.lit(0)).cast("bigint"),
-            total: F.sum(weight).over(Window.partitionBy(*group)).cast("bigint")})
+            total: F.sum(weight).over(throughout).cast("bigint")})
 
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialise(
@@ -89,7 +91,14 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str, descending:
 
 def add_rank(df: DataFrame, group: Sequence[str], value: str, out: str, descending: bool = True,
              bound: int | None = None, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """SQL ``RANK()``: ties share the best position, nulls come last."""
+    """SQL ``RANK()``: ties share the best position, nulls come last.
+
+    Groups that one task may sort are ranked in place, without a shuffle where rows already lie by some of ``group``;
+    larger ones by the counts of their distinct values, joined back.
+    """
+    if largest_group(df, group) <= window_rows:
+        order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+        return df.withColumn(out, F.rank().over(Window.partitionBy(*group).orderBy(order)))
     ranks = (value_positions(df, group, value, descending, True, bound, window_rows)
              .select(*group, value, (F.col("before") + 1).cast("int").alias(out)))
     return join_null_safe(df, ranks, [*group, value], "inner")
